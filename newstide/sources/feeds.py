@@ -10,9 +10,12 @@ from newstide.functions.text import blank_to_null, strip
 from newstide.operators.filters import has_unwanted, publication_status
 
 
-def read_feed_json(spark: SparkSession, path: str) -> DataFrame:
-    """One row per feed article. Result pages may be partitioned by category."""
-    pages = spark.read.schema(schemas.FEED_PAGE).option("multiLine", True).json(path)
+def read_feed_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """One row per feed article. Result pages may be partitioned by category.
+
+    Pages are landed one per line, which Spark can split; ``multi_line`` reads one page per file.
+    """
+    pages = spark.read.schema(schemas.FEED_PAGE).option("multiLine", multi_line).json(path)
     return pages.select("category", F.explode("articles").alias("a")).select("category", "a.*")
 
 

@@ -240,7 +240,7 @@ def filters() -> dict[str, str]:
             b AS (SELECT *, CASE WHEN tokens < 200 THEN greatest(floor(tokens * 0.8::double)::int, 20) ELSE 200 END AS longest FROM t)
             SELECT doc_id, tokens, longest, CASE WHEN tokens < 200 THEN least(10, longest // 2) ELSE 80 END AS shortest FROM b""",
         "normalize_vectors": """
-            WITH e AS (SELECT vec_id, unnest(list_transform(embedding, lambda x: (x * 3::float)::double)) AS x,
+            WITH e AS (SELECT vec_id, unnest(list_transform(embedding, lambda x: x::double * 3)) AS x,
                               unnest(range(len(embedding))) AS pos FROM embeddings),
             n AS (SELECT vec_id, sqrt(sum(x * x)) + 1e-9 AS n FROM e GROUP BY vec_id)
             SELECT e.vec_id, e.pos::int AS pos, round(e.x / n.n, 6) AS x FROM e JOIN n ON e.vec_id = n.vec_id""",
@@ -429,8 +429,260 @@ def scores() -> dict[str, str]:
     }
 
 
+
+CLUSTERS = (
+    WEIGHTS
+    + """,
+firsts AS (SELECT sample, lang, min(article_id) AS first FROM clean GROUP BY ALL),
+ids AS (SELECT sample, lang, sample || '-' || (row_number() OVER (PARTITION BY sample ORDER BY first) - 1) AS cluster_id FROM firsts),
+members AS (SELECT i.cluster_id, w.* FROM weights w JOIN ids i ON i.sample = w.sample AND i.lang = w.lang)"""
+)
+
+TERMS = (
+    CLUSTERS
+    + f""",
+tok AS (SELECT cluster_id, article_id, list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
+               lambda w: NOT list_contains({STOPS}, w)) AS t FROM members),
+uni AS (SELECT cluster_id, article_id, unnest(t) AS a, unnest(range(len(t))) AS pos FROM tok),
+grams AS (
+  SELECT cluster_id, article_id, a AS term FROM uni
+  UNION ALL
+  SELECT x.cluster_id, x.article_id, x.a || ' ' || y.a FROM uni x JOIN uni y ON x.article_id = y.article_id AND y.pos = x.pos + 1
+),
+tf AS (SELECT cluster_id, article_id, term, count(*) AS tf FROM grams GROUP BY ALL),
+sizes AS (SELECT cluster_id, count(*) AS n FROM members GROUP BY ALL),
+df AS (SELECT tf.cluster_id, term, count(*) AS df, any_value(n) AS n FROM tf JOIN sizes ON sizes.cluster_id = tf.cluster_id GROUP BY ALL),
+w AS (SELECT tf.cluster_id, article_id, tf.term, n, tf * (ln((1 + n) / (1 + df)) + 1) AS w
+      FROM tf JOIN df ON tf.cluster_id = df.cluster_id AND tf.term = df.term WHERE df <= 0.9::double * n),
+len AS (SELECT cluster_id, article_id, sqrt(sum(w * w)) AS l FROM w GROUP BY ALL),
+score AS (SELECT w.cluster_id, term, round(sum(w / l) / max(n), 9) AS score
+          FROM w JOIN len ON len.cluster_id = w.cluster_id AND len.article_id = w.article_id GROUP BY w.cluster_id, term),
+top_terms AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, term) AS rank FROM score) WHERE rank <= 8)"""
+)
+
+ENTITIES = (
+    CLUSTERS
+    + """,
+ent AS (SELECT cluster_id, lower(e) AS entity, count(*) AS cnt FROM (SELECT cluster_id, unnest(nouns) AS e FROM members) GROUP BY ALL),
+top_ent AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY cnt DESC, entity) AS rank FROM ent) WHERE rank <= 6)"""
+)
+
+PAIRS = """
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b,
+                 round(1 - list_dot_product(a.embedding::double[], b.embedding::double[])
+                       / ((sqrt(list_dot_product(a.embedding::double[], a.embedding::double[])) + 1e-9)
+                          * (sqrt(list_dot_product(b.embedding::double[], b.embedding::double[])) + 1e-9)), 9) AS d
+          FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+near AS (SELECT * FROM pairs WHERE d < 0.6)"""
+
+DAYS = """
+days AS (SELECT ts::date AS date, event_type || '/' || json_extract_string(props, '$.k') AS thread_id, count(*) / 10.0::double AS score,
+                list_sort(list_distinct(list('u' || user_id))) AS ents FROM events GROUP BY ALL),
+runs AS (SELECT *, date - (row_number() OVER (PARTITION BY thread_id ORDER BY date))::int AS run FROM days),
+seg AS (SELECT *, min(date) OVER (PARTITION BY thread_id, run) AS segment,
+               row_number() OVER (PARTITION BY thread_id, run ORDER BY date) AS i FROM runs)"""
+
+EMA = (
+    "RECURSIVE "
+    + DAYS.strip()
+    + """,
+ema AS (
+  SELECT thread_id, segment, date, i, score AS ema FROM seg WHERE i = 1
+  UNION ALL
+  SELECT s.thread_id, s.segment, s.date, s.i, 0.7::double * s.score + (1 - 0.7::double) * e.ema
+  FROM ema e JOIN seg s ON s.thread_id = e.thread_id AND s.segment = e.segment AND s.i = e.i + 1
+)"""
+)
+
+NOVELTY = """,
+today AS (SELECT thread_id, segment, date, unnest(ents) AS e FROM seg),
+size AS (SELECT thread_id, segment, date, count(*) AS n FROM today GROUP BY ALL),
+past AS (SELECT DISTINCT s.thread_id, s.segment, s.date, t.e FROM seg s JOIN today t
+         ON t.thread_id = s.thread_id AND t.segment = s.segment AND t.date < s.date AND t.date >= s.date - 7),
+past_n AS (SELECT thread_id, segment, date, count(*) AS n FROM past GROUP BY ALL),
+both_n AS (SELECT p.thread_id, p.segment, p.date, count(*) AS n FROM past p JOIN today t
+           ON t.thread_id = p.thread_id AND t.date = p.date AND t.e = p.e GROUP BY ALL),
+novelty AS (
+  SELECT s.thread_id, s.segment, s.date,
+         CASE WHEN s.date = s.segment THEN 1.0::double
+              ELSE greatest(0, 1 - coalesce(b.n, 0) / (s2.n + coalesce(p.n, 0) - coalesce(b.n, 0))) END AS novelty
+  FROM seg s JOIN size s2 ON s2.thread_id = s.thread_id AND s2.date = s.date
+  LEFT JOIN past_n p ON p.thread_id = s.thread_id AND p.date = s.date
+  LEFT JOIN both_n b ON b.thread_id = s.thread_id AND b.date = s.date
+)"""
+
+
+def clusters() -> dict[str, str]:
+    return {
+        "cluster_scores": with_(
+            CLUSTERS
+            + """,
+m AS (SELECT cluster_id, sum(0.5::double * source_weight + 0.3::double * recency_weight + 0.2::double * category_weight) AS s,
+             0.5::double * ln(1 + count(DISTINCT CASE WHEN source_weight >= 0.9 THEN source_domain END)) AS b FROM members GROUP BY 1)""",
+            """SELECT cluster_id, round(s, 6) AS sum_article_weight, round(b, 6) AS diversity_bonus, round(s + b, 6) AS cluster_score_today FROM m""",
+        ),
+        "cluster_terms": with_(TERMS, "SELECT cluster_id, term, round(score, 6) AS score, rank::int AS rank FROM top_terms"),
+        "cluster_entities": with_(ENTITIES, "SELECT cluster_id, entity, cnt, rank::int AS rank FROM top_ent"),
+        "cluster_labels": with_(
+            ENTITIES
+            + """,
+topic AS (SELECT cluster_id, topic FROM (
+            SELECT cluster_id, topic, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, topic) AS r
+            FROM members WHERE topic <> '' AND lower(topic) <> 'unknown' GROUP BY cluster_id, topic) WHERE r = 1),
+two AS (SELECT cluster_id, string_agg(entity, ' – ' ORDER BY rank) AS e FROM top_ent WHERE rank <= 2 GROUP BY 1)""",
+            """SELECT DISTINCT m.cluster_id, coalesce(nullif(concat_ws(' – ', topic.topic, two.e), ''), 'misc') AS topic_label
+               FROM members m LEFT JOIN topic ON topic.cluster_id = m.cluster_id LEFT JOIN two ON two.cluster_id = m.cluster_id""",
+        ),
+        "cluster_summary": with_(
+            CLUSTERS
+            + """,
+t AS (SELECT cluster_id, md5(title) AS value, row_number() OVER (PARTITION BY cluster_id ORDER BY article_id) AS n FROM members WHERE title <> '')""",
+            """SELECT cluster_id, 'size' AS kind, NULL AS value, count(*) AS n FROM members GROUP BY 1
+               UNION ALL SELECT cluster_id, 'title', value, n FROM t WHERE n <= 6
+               UNION ALL SELECT cluster_id, 'domain', source_domain, count(*) FROM members GROUP BY 1, 3
+               UNION ALL SELECT cluster_id, 'topic', topic, count(*) FROM members WHERE lower(topic) <> 'unknown' GROUP BY 1, 3""",
+        ),
+        "cluster_centroids": """
+            WITH e AS (SELECT label, unnest(embedding)::double AS x, unnest(range(len(embedding))) AS pos FROM embeddings)
+            SELECT label AS cluster_id, pos::int AS pos, round(avg(x), 6) AS x FROM e GROUP BY label, pos""",
+        "similar_vectors": with_(
+            PAIRS, "SELECT a AS vec_id, count(*) AS n_within, arg_min(b, (d, b)) AS nearest_id, round(min(d), 6) AS dist FROM near GROUP BY a"
+        ),
+        "cluster_components": with_(
+            "RECURSIVE "
+            + PAIRS.strip()
+            + """,
+reach(v, r) AS (SELECT a, a FROM near UNION SELECT reach.v, near.b FROM reach JOIN near ON near.a = reach.r)""",
+            "SELECT v AS vec_id, min(r) AS component FROM reach GROUP BY v",
+        ),
+        "resolve_vectors": """
+            WITH v AS (SELECT vec_id, label, CASE WHEN NOT (vec_id % 97 = 3 AND label < 5) THEN embedding END AS stored, embedding FROM embeddings),
+            f AS (SELECT label, bool_and(stored IS NOT NULL) AS reuse FROM v GROUP BY 1)
+            SELECT vec_id AS article_id, v.label::varchar AS sample, reuse,
+                   round((CASE WHEN reuse THEN embedding[1] ELSE embedding[-1] END)::double
+                         / (sqrt(list_dot_product(embedding::double[], embedding::double[])) + 1e-9), 6) AS first_value
+            FROM v JOIN f ON f.label = v.label""",
+        "link_threads": """
+            WITH e AS (SELECT vec_id, label, unnest(embedding)::double AS x, unnest(range(len(embedding))) AS pos FROM embeddings),
+            c AS (SELECT label, pos, avg(x) AS x FROM e GROUP BY ALL),
+            cn AS (SELECT label, sqrt(sum(x * x)) + 1e-9 AS n FROM c GROUP BY 1),
+            u AS (SELECT c.label, pos, x / n AS x FROM c JOIN cn ON cn.label = c.label),
+            un AS (SELECT label, sqrt(sum(x * x)) + 1e-9 AS n FROM u GROUP BY 1),
+            en AS (SELECT vec_id, sqrt(sum(x * x)) + 1e-9 AS n FROM e GROUP BY 1),
+            s AS (SELECT e.vec_id, u.label, round(1 - sum(e.x * u.x) / (any_value(en.n) * any_value(un.n)), 9) AS d
+                  FROM e JOIN u ON u.pos = e.pos JOIN en ON en.vec_id = e.vec_id JOIN un ON un.label = u.label GROUP BY e.vec_id, u.label),
+            b AS (SELECT vec_id, arg_min('t' || label, (d, 't' || label)) AS thread_id, min(d) AS d FROM s WHERE d <= 0.7 GROUP BY 1)
+            SELECT 'c' || v.vec_id AS cluster_id, thread_id, round(1 - d, 6) AS similarity FROM embeddings v LEFT JOIN b ON b.vec_id = v.vec_id""",
+        "embed_text": with_(
+            CLEAN, "SELECT article_id, 1.0::double AS length FROM clean WHERE regexp_matches(text, '[\\p{L}\\p{N}_]{2}')"
+        ),
+    }
+
+
+def threads() -> dict[str, str]:
+    day = "strftime({0}, '%Y-%m-%d') AS {0}"
+    return {
+        "thread_ema": with_(
+            EMA, f"SELECT thread_id, {day.format('segment')}, {day.format('date')}, round(ema, 6) AS ema FROM ema"
+        ),
+        "thread_novelty": with_(
+            DAYS + NOVELTY, f"SELECT thread_id, {day.format('segment')}, {day.format('date')}, round(novelty, 6) AS novelty FROM novelty"
+        ),
+        "top_threads": with_(
+            EMA + NOVELTY,
+            """SELECT e.thread_id || '/' || strftime(e.date, '%Y-%m-%d') AS cluster_id, round(e.ema + n.novelty, 6) AS trend_score
+               FROM ema e JOIN novelty n ON n.thread_id = e.thread_id AND n.date = e.date ORDER BY 2 DESC, 1 LIMIT 10""",
+        ),
+        "upsert_threads": with_(
+            DAYS
+            + """,
+late AS (SELECT * FROM days WHERE date >= DATE '2024-01-24')""",
+            f"""SELECT {day.format('date')}, thread_id, round(CASE WHEN days.date >= DATE '2024-01-24' THEN score * 2 ELSE score END, 6) AS cluster_score_today FROM days
+                UNION ALL SELECT strftime(late.date, '%Y-%m-%d'), split_part(thread_id, '/', 1), round(sum(score), 6) FROM late GROUP BY 1, 2""",
+        ),
+        "mark_rows": with_(
+            CLEAN,
+            """SELECT article_id, CASE WHEN article_id IN (SELECT article_id FROM clean WHERE lang = 'en') THEN true ELSE isCleaned END AS isCleaned
+               FROM articles""",
+        ),
+    }
+
+
+WORDS_IN = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
+TOPIC_LEX = (
+    CLEAN
+    + f""",
+lex AS (SELECT DISTINCT unnest({WORDS_IN.format("text")}) AS word, ([{lits(TOPICS)}])[(item_id % 12) + 1] AS topic FROM benchmark)"""
+)
+
+
+def models() -> dict[str, str]:
+    return {
+        "extract_terms": with_(
+            CLEAN,
+            f"""SELECT a.article_id, coalesce(len(nouns), 0)::int AS n, md5(coalesce(array_to_string(nouns, ' '), '')) AS nouns_md5
+                FROM articles a LEFT JOIN clean c ON c.article_id = a.article_id""",
+        ),
+        "extract_terms_lexicon": with_(
+            TOPIC_LEX
+            + """,
+known AS (SELECT DISTINCT word, lower(substr(word, 1, (length(word) * 2 // 3)::int)) AS lemma FROM lex WHERE length(word) > 3),
+tok AS (SELECT article_id, unnest(nouns) AS word, unnest(range(len(nouns))) AS pos FROM clean),
+hit AS (SELECT article_id, count(*) AS n, string_agg(lemma, ' ' ORDER BY pos) AS x FROM tok JOIN known ON known.word = tok.word GROUP BY 1)""",
+            "SELECT a.article_id, coalesce(n, 0)::int AS n, md5(coalesce(x, '')) AS nouns_md5 FROM articles a LEFT JOIN hit ON hit.article_id = a.article_id",
+        ),
+        "classify_topic": with_(
+            TOPIC_LEX
+            + f""",
+tok AS (SELECT article_id, unnest({WORDS_IN.format("summary")}) AS word FROM clean),
+sc AS (SELECT article_id, topic, count(*) AS n FROM tok JOIN lex ON lex.word = tok.word GROUP BY ALL),
+best AS (SELECT article_id, topic, row_number() OVER (PARTITION BY article_id ORDER BY n DESC, topic) AS r FROM sc)""",
+            """SELECT c.article_id, coalesce(b.topic, 'unknown') AS topic FROM clean c LEFT JOIN best b ON b.article_id = c.article_id AND b.r = 1""",
+        ),
+        "classify_sentiment": with_(
+            CLEAN
+            + f""",
+cw AS (SELECT unnest({WORDS_IN.format("text")}) AS word, CASE role WHEN 'user' THEN 1 ELSE -1 END AS p FROM conversations),
+pol AS (SELECT word, CASE WHEN sum(p) > 0 THEN 1.0::double ELSE -1.0::double END AS p FROM cw GROUP BY 1),
+tok AS (SELECT article_id, unnest({WORDS_IN.format("summary")}) AS word FROM clean),
+hit AS (SELECT article_id, sum(p) AS p, count(*) AS n FROM tok JOIN pol ON pol.word = tok.word GROUP BY 1)""",
+            """SELECT c.article_id, CASE WHEN h.n IS NULL THEN 'unknown' WHEN h.p >= 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS label,
+                      round(coalesce(abs(h.p) / h.n, 0.0), 6)::double AS score FROM clean c LEFT JOIN hit h ON h.article_id = c.article_id""",
+        ),
+        "choose_summary": with_(
+            ARTICLES,
+            """SELECT article_id, CASE WHEN lang = 'fr' AND title IS NOT NULL THEN 'stored' ELSE 'text or summary' END AS kind,
+                      CASE WHEN length(text) <= 200 THEN coalesce(CASE WHEN lang = 'fr' THEN title END, text) = text END AS short_kept
+               FROM articles""",
+        ),
+    }
+
+
+FEED_ROWS = "url, coalesce({title}, '') AS title, source, md5(body) AS text_md5{more}, count(*) AS cnt"
+
+
+def landed() -> dict[str, str]:
+    bodies = ", bodies AS (SELECT url AS u, arg_min(text, article_id) AS body FROM articles WHERE isCleaned IS NOT NULL GROUP BY 1)"
+    return {
+        "ingest_feed_json": with_(
+            ARTICLES + bodies, f"SELECT {FEED_ROWS.format(title='title', more='')} FROM articles JOIN bodies ON u = url GROUP BY 1, 2, 3, 4"
+        ),
+        "ingest_category_json": with_(
+            ARTICLES + bodies,
+            f"""SELECT {FEED_ROWS.format(title='title', more=", category, strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS published_at")}
+                FROM articles JOIN bodies ON u = url WHERE published_at::date = DATE '2025-08-12' AND category IS NOT NULL
+                GROUP BY 1, 2, 3, 4, 5, 6""",
+        ),
+        "ingest_rss_xml": with_(
+            ARTICLES, "SELECT url, title, 'wire' AS source, md5(source) AS text_md5, count(*) AS cnt FROM articles WHERE title IS NOT NULL GROUP BY 1, 2, 4"
+        ),
+        "stream_intake": "SELECT source, lang, count(*) AS cnt, sum(length(text))::bigint AS chars FROM documents GROUP BY ALL",
+        "stream_url_dedup": "SELECT DISTINCT lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)) AS url FROM pages",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (words, filters, samples, counts, upkeep, scores):
+    for part in (words, filters, samples, counts, upkeep, scores, clusters, threads, models, landed):
         out.update(part())
     return out

@@ -7,21 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newstide.config import UNWANTED_SNIPPETS
+from newstide.config import ClusterConfig, EngineConfig, TrendsConfig, UNWANTED_SNIPPETS
 from newstide.functions import samples as S
 from newstide.functions import text as TX
 from newstide.functions import urls as U
 from newstide.functions import vectors as VX
+from newstide.operators import clusters as CL
 from newstide.operators import dedup as DD
 from newstide.operators import filters as FL
+from newstide.operators import labels as LB
 from newstide.operators import links as LK
 from newstide.operators import maintenance as MT
+from newstide.operators import models as MD
+from newstide.operators import neighbours as NB
 from newstide.operators import samples as SM
 from newstide.operators import scores as SC
 from newstide.operators import stats as ST
+from newstide.operators import threads as TH
 from newstide.operators import words as W
+from newstide.plans import clean as CN
 from newstide.plans import gather as GA
+from newstide.plans import trends as TR
+from newstide.session import cut, scratch_path
+from newstide.sources import feeds as FD
 from newstide.sources import pages as PG
+from newstide.sources.tables import set_where, upsert
+from newstide.streaming import intake as IN
 from newstide.workload import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,7 +195,7 @@ def length_budget(spark, sf_dir):
 @query
 def normalize_vectors(spark, sf_dir):
     v = V.table(spark, sf_dir, "embeddings")
-    scaled = F.transform("embedding", lambda x: x * 3)
+    scaled = F.transform("embedding", lambda x: x.cast("double") * 3)
     return v.select("vec_id", F.posexplode(VX.l2_normalize(scaled)).alias("pos", "x")).select(
         "vec_id", "pos", F.round("x", 6).alias("x")
     )
@@ -388,3 +399,304 @@ def article_weights(spark, sf_dir):
     return rows.select(
         "article_id", *[F.round(c, 6).alias(c) for c in ("source_weight", "recency_weight", "category_weight", "article_weight")]
     )
+
+
+@query
+def cluster_scores(spark, sf_dir):
+    rows = V.grouped_articles(spark, sf_dir)
+    out = SC.cluster_scores(rows, V.clean_articles(spark, sf_dir), V.as_of(), V.TEST_SCORING)
+    cols = ("sum_article_weight", "diversity_bonus", "cluster_score_today")
+    return out.select("cluster_id", *[F.round(c, 6).alias(c) for c in cols])
+
+
+# --- labels ------------------------------------------------------------------
+
+
+@query
+def cluster_terms(spark, sf_dir):
+    return LB.cluster_terms(V.cluster_rows(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
+@query
+def cluster_entities(spark, sf_dir):
+    return LB.cluster_entities(V.cluster_rows(spark, sf_dir))
+
+
+@query
+def cluster_labels(spark, sf_dir):
+    return LB.cluster_summaries(V.cluster_rows(spark, sf_dir)).select("cluster_id", "topic_label")
+
+
+@query
+def cluster_summary(spark, sf_dir):
+    """Size, first titles, domains and topics of each cluster, one row per element."""
+    rows = V.cluster_rows(spark, sf_dir)
+    null = F.lit(None).cast("string")
+    size = LB.cluster_sizes(rows).select("cluster_id", F.lit("size").alias("kind"), null.alias("value"), F.col("size").alias("n"))
+    title = LB.cluster_titles(rows).select("cluster_id", F.lit("title").alias("kind"), F.md5("title").alias("value"), F.col("rank").cast("long").alias("n"))
+    domain = LB.cluster_domains(rows).select("cluster_id", F.lit("domain").alias("kind"), F.col("domain").alias("value"), F.col("cnt").alias("n"))
+    topic = LB.cluster_topics(rows).select("cluster_id", F.lit("topic").alias("kind"), F.col("topic").alias("value"), F.col("cnt").alias("n"))
+    return size.unionByName(title).unionByName(domain).unionByName(topic)
+
+
+# --- vectors -----------------------------------------------------------------
+
+TEST_DISTANCE = 0.60  # the given vectors lie at least 0.40 apart
+
+
+@query
+def cluster_centroids(spark, sf_dir):
+    rows = V.table(spark, sf_dir, "embeddings").select(F.col("label").alias("cluster_id"), F.col("embedding").alias("vec"))
+    return CL.centroids(rows).select("cluster_id", F.posexplode("centroid").alias("pos", "x")).withColumn("x", F.round("x", 6))
+
+
+@query
+def similar_vectors(spark, sf_dir):
+    """For each vector the number of others within the distance, and the nearest."""
+    rows = NB.nearest(V.vectors(spark, sf_dir), None, TEST_DISTANCE)
+    return rows.select(F.col("id").alias("vec_id"), "n_within", F.col("other").alias("nearest_id"), F.round("dist", 6).alias("dist"))
+
+
+@query
+def cluster_components(spark, sf_dir):
+    rows = CL.vector_components(V.vectors(spark, sf_dir), TEST_DISTANCE)
+    return rows.select(F.col("id").alias("vec_id"), "component")
+
+
+@query
+def cluster_vectors(spark, sf_dir):
+    rows = CL.cluster_vectors(V.vectors(spark, sf_dir), ClusterConfig(distance=TEST_DISTANCE))
+    return rows.select(F.col("id").alias("vec_id"), "cluster", "size", "ordinal")
+
+
+@query
+def resolve_vectors(spark, sf_dir):
+    """Labels as samples; those with a missing vector are computed anew, here as the vector reversed."""
+    rows = V.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("article_id"), F.col("label").cast("string").alias("sample"), F.col("embedding").alias("raw"),
+        F.when(~((F.col("vec_id") % 97 == 3) & (F.col("label") < 5)), F.col("embedding")).alias("embedding"),
+    )
+    out = MD.resolve_vectors(rows, lambda df: df.select("article_id", VX.l2_normalize(F.reverse("raw")).alias("vec")))
+    return out.select("article_id", "sample", "reuse", F.round(F.get("vec", F.lit(0)), 6).alias("first_value"))
+
+
+@query
+def embed_text(spark, sf_dir):
+    rows = V.clean_articles(spark, sf_dir)
+    out = MD.embed_text(rows, MD.fit_idf(rows))
+    return out.select("article_id", F.round(VX.norm(F.col("vec.values")), 6).alias("length"))
+
+
+# --- threads -----------------------------------------------------------------
+
+
+@query
+def link_threads(spark, sf_dir):
+    """Every vector is a cluster of today, the mean of every label a thread of yesterday."""
+    rows = V.table(spark, sf_dir, "embeddings")
+    today = rows.select(F.concat(F.lit("c"), F.col("vec_id").cast("string")).alias("cluster_id"), F.col("embedding").alias("centroid"))
+    threads = CL.centroids(rows.select(F.concat(F.lit("t"), F.col("label").cast("string")).alias("cluster_id"), F.col("embedding").alias("vec")), unit=True)
+    linked = TH.link_threads(today, threads.withColumnRenamed("cluster_id", "thread_id"), TrendsConfig(link_similarity=0.30))
+    return today.select("cluster_id").join(linked, "cluster_id", "left").select("cluster_id", "thread_id", F.round("similarity", 6).alias("similarity"))
+
+
+def _day_text(df):
+    for c in ("date", "segment"):
+        if c in df.columns:
+            df = df.withColumn(c, F.date_format(c, "yyyy-MM-dd"))
+    return df
+
+
+@query
+def thread_ema(spark, sf_dir):
+    return _day_text(TH.ema_history(V.thread_days(spark, sf_dir))).withColumn("ema", F.round("ema", 6))
+
+
+@query
+def thread_novelty(spark, sf_dir):
+    return _day_text(TH.novelty_history(V.thread_days(spark, sf_dir))).withColumn("novelty", F.round("novelty", 6))
+
+
+@query
+def top_threads(spark, sf_dir):
+    days = cut(V.thread_days(spark, sf_dir))
+    on = ["thread_id", "segment", "date"]
+    rows = TH.ema_history(days).join(TH.novelty_history(days), on)
+    scored = rows.withColumn("trend_score", F.round(F.col("ema") + F.col("novelty"), 6)).withColumn("cluster_id", F.concat_ws("/", "thread_id", "date"))
+    return TH.top_threads(scored, 10).select("cluster_id", "trend_score")
+
+
+@query
+def upsert_threads(spark, sf_dir):
+    """A week of thread days is written again with doubled scores, and one new thread per type added."""
+    days = V.thread_days(spark, sf_dir).select("date", "thread_id", "cluster_score_today")
+    late = days.where("date >= date'2024-01-24'")
+    again = late.withColumn("cluster_score_today", F.col("cluster_score_today") * 2)
+    new = late.groupBy("date", F.substring_index("thread_id", "/", 1).alias("thread_id")).agg(F.sum("cluster_score_today").alias("cluster_score_today"))
+    out = upsert(days, again.unionByName(new), ["date", "thread_id"])
+    return _day_text(out).withColumn("cluster_score_today", F.round("cluster_score_today", 6))
+
+
+@query
+def mark_rows(spark, sf_dir):
+    """Articles whose text went to the clean table get their flag set; others keep theirs."""
+    rows = V.articles(spark, sf_dir)
+    done = V.clean_articles(spark, sf_dir).where("lang = 'en'").select("article_id")
+    return set_where(rows, done, ["article_id"], isCleaned=True).select("article_id", "isCleaned")
+
+
+# --- text models -------------------------------------------------------------
+
+
+@query
+def extract_terms(spark, sf_dir):
+    rows = MD.extract_terms(V.articles(spark, sf_dir))
+    return rows.select("article_id", F.size("nouns").alias("n"), F.md5(F.array_join("nouns", " ")).alias("nouns_md5"))
+
+
+@query
+def extract_terms_lexicon(spark, sf_dir):
+    """Terms found in a lexicon, here the benchmark words with their first two thirds as lemma."""
+    words = V.topic_words(spark, sf_dir).select("word").distinct()
+    size = (F.length("word") * 2 / 3).cast("int")
+    lexicon = words.select("word", F.substring("word", F.lit(1), size).alias("lemma"), F.when(F.length("word") > 3, "NOUN").otherwise("DET").alias("pos"))
+    rows = MD.extract_terms(V.articles(spark, sf_dir), lexicon)
+    return rows.select("article_id", F.size("nouns").alias("n"), F.md5(F.array_join("nouns", " ")).alias("nouns_md5"))
+
+
+@query
+def classify_topic(spark, sf_dir):
+    rows = MD.classify_topic(V.clean_articles(spark, sf_dir), V.topic_words(spark, sf_dir))
+    return rows.select("article_id", "topic")
+
+
+@query
+def classify_sentiment(spark, sf_dir):
+    rows = MD.classify_sentiment(V.clean_articles(spark, sf_dir), V.polarity_words(spark, sf_dir))
+    return rows.select("article_id", F.col("sentiment.label").alias("label"), F.round("sentiment.score", 6).alias("score"))
+
+
+@query
+def choose_summary(spark, sf_dir):
+    """Stored summaries are the titles of one language; only texts that need a summary differ from both inputs."""
+    stored = V.articles(spark, sf_dir).withColumn("stored", F.when(F.col("lang") == "fr", F.col("title")))
+    rows = MD.choose_summary(stored.withColumn("summary", F.col("stored")))
+    kind = F.when(F.col("summary") == F.col("stored"), "stored").when(F.length("summary") <= F.length("text"), "text or summary")
+    same = F.col("summary") == F.col("text")
+    return rows.select("article_id", kind.alias("kind"), F.when(F.length("text") <= 200, same).alias("short_kept"))
+
+
+@query
+def summarize(spark, sf_dir):
+    rows = MD.summarize(V.articles(spark, sf_dir))
+    return rows.select("article_id", TX.token_count(F.col("summary")).alias("tokens"), F.md5("summary").alias("summary_md5"))
+
+
+@query
+def classify(spark, sf_dir):
+    rows = MD.classify(V.articles(spark, sf_dir), V.topic_words(spark, sf_dir), V.polarity_words(spark, sf_dir))
+    return rows.select("article_id", "topic", F.col("sentiment.label").alias("label"), "status", F.md5("summary").alias("summary_md5"))
+
+
+# --- landed feeds and streams ---------------------------------------------------
+
+
+def _landed_feed(spark, sf_dir):
+    """The articles as feed result pages, one folder per category, in the shared folder."""
+    iso = F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    entry = F.struct("title", "url", F.col("text").alias("content"), iso.alias("publishedAt"), F.struct(F.col("source").alias("name")).alias("source"))
+    path = scratch_path(spark, "feed")
+    rows = V.articles(spark, sf_dir).select(F.coalesce("category", F.lit("none")).alias("category"), F.array(entry).alias("articles"))
+    rows.write.partitionBy("category").json(path)
+    return path
+
+
+def _feed_bodies(spark, sf_dir):
+    """A body for the urls of labelled articles."""
+    rows = V.articles(spark, sf_dir).where("isCleaned is not null")
+    return rows.groupBy("url").agg(F.min_by("text", "article_id").alias("text"))
+
+
+def _feed_rows(df, *more):
+    return df.select("url", "title", "source", F.md5("text").alias("text_md5"), *more).groupBy("url", "title", "source", "text_md5", *more).agg(F.count("*").alias("cnt"))
+
+
+@query
+def ingest_feed_json(spark, sf_dir):
+    feed = FD.read_feed_json(spark, _landed_feed(spark, sf_dir))
+    return _feed_rows(FD.topical_feed(feed, _feed_bodies(spark, sf_dir), V.as_of()))
+
+
+@query
+def ingest_category_json(spark, sf_dir):
+    feed = FD.read_feed_json(spark, _landed_feed(spark, sf_dir)).where(F.col("category") != "none")
+    rows = FD.category_feed(feed, _feed_bodies(spark, sf_dir), V.as_of(), F.lit("2025-08-12").cast("date"))
+    return _feed_rows(rows, "category", "published_at")
+
+
+@query
+def ingest_rss_xml(spark, sf_dir):
+    path = scratch_path(spark, "rss")
+    entry = V.articles(spark, sf_dir).select("title", F.col("url").alias("link"), F.col("source").alias("description"))
+    entry.write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    rows = FD.rss_with_summaries(FD.read_rss(spark, path), "wire", V.as_of())
+    return _feed_rows(rows)
+
+
+@query
+def stream_intake(spark, sf_dir):
+    """The documents read as a stream of files and landed once, counted by source and language."""
+    batch = V.table(spark, sf_dir, "documents")
+    stream = IN.table_stream(spark, f"{sf_dir.rstrip('/')}/documents*.parquet", batch.schema)
+    out = scratch_path(spark, "intake")
+    IN.run_available(stream.select("doc_id", "source", "lang", F.length("text").alias("n")), out, scratch_path(spark, "intake-state"))
+    landed = spark.read.schema("doc_id long, source string, lang string, n int").parquet(out)
+    return landed.groupBy("source", "lang").agg(F.count("*").alias("cnt"), F.sum("n").alias("chars"))
+
+
+@query
+def stream_url_dedup(spark, sf_dir):
+    """Pages whose host was not seen before, found by the stream's dedup state."""
+    pages = V.table(spark, sf_dir, "pages")
+    stream = IN.table_stream(spark, f"{sf_dir.rstrip('/')}/pages*.parquet", pages.schema)
+    host = U.source_domain(F.col("url"))
+    rows = stream.select(host.alias("url"), F.lit("t").alias("title"), F.col("html").alias("text"), F.lit("2025-08-10 00:00:00").cast("timestamp").alias("scraped_at"))
+    out = scratch_path(spark, "hosts")
+    IN.run_available(IN.first_seen(rows).select("url"), out, scratch_path(spark, "hosts-state"))
+    return spark.read.schema("url string").parquet(out)
+
+
+# --- whole runs ----------------------------------------------------------------
+
+
+@query
+def gather_and_classify(spark, sf_dir):
+    out = GA.gather(
+        V.raw_candidates(spark, sf_dir).drop("sample"), V.link_pool(spark, sf_dir), "3-2025-08-14", V.as_of(),
+        V.polarity_words(spark, sf_dir), V.topic_words(spark, sf_dir),
+    )
+    return out.articles.select("article_id", "url", "title", "topic", F.col("sentiment.label").alias("label"), F.md5("summary").alias("summary_md5"))
+
+
+@query
+def clean_articles(spark, sf_dir):
+    rows = V.articles(spark, sf_dir).withColumn("summary", F.lit(None).cast("string"))
+    out = CN.clean(rows, MD.fit_idf(rows))
+    return out.select(
+        "article_id", "sample", "source_domain", F.size("nouns").alias("nouns"), F.size("embedding.indices").alias("slots"), F.md5("summary").alias("summary_md5")
+    )
+
+
+@query
+def trend_threads(spark, sf_dir):
+    """Each batch of a day is followed from the first: batch 1 founds threads, batch 2 a day later continues them."""
+    rows = V.clean_articles(spark, sf_dir)
+    vec = cut(MD.embed_text(rows, MD.fit_idf(rows)))
+    vec = vec.join(rows.select("article_id", "sample", "batch"), "article_id")
+    cfg = EngineConfig(scoring=V.TEST_SCORING, clusters=ClusterConfig(block_rows=400))
+    none = spark.createDataFrame([], TR.SPARSE_HISTORY)
+    days = [F.lit(d).cast("date") for d in ("2025-08-14", "2025-08-15")]
+    first = cut(TR.trend_threads(rows, vec.where("batch = 1").drop("batch"), none, days[0], V.as_of(), cfg))
+    second = TR.trend_threads(rows, vec.where("batch = 2").drop("batch"), TH.stored_threads(first), days[1], V.as_of(), cfg)
+    cols = ["cluster_id", "thread_id", "size", "topic_label", F.round("ema", 6).alias("ema"), F.round("novelty", 6).alias("novelty"), F.round("trend_score", 6).alias("trend_score")]
+    return first.select(F.lit(1).alias("day"), *cols).unionByName(second.select(F.lit(2).alias("day"), *cols))

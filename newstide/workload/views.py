@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from newstide.config import CATEGORY_WEIGHTS, SOURCE_WEIGHTS, TOPICS, ScoringConfig
 from newstide.functions.samples import sample_batch, sample_date
-from newstide.functions.text import blank_to_null, strip, terms
+from newstide.functions.text import blank_to_null, strip, terms, words
 from newstide.functions.urls import source_domain
+from newstide.operators.ordinals import ordinal_within
 
 AS_OF = "2025-08-15 00:00:00"
 
@@ -102,8 +103,43 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grouped_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean articles with a given grouping: one cluster per sample and language."""
-    return clean_articles(spark, sf_dir).withColumn("cluster", F.concat_ws("/", "sample", "lang"))
+    """Clean articles with a given grouping: one cluster per sample and language.
+
+    Cluster ids number the clusters of a sample by their first member.
+    """
+    rows = clean_articles(spark, sf_dir)
+    firsts = rows.groupBy("sample", "lang").agg(F.min("article_id").alias("first"))
+    numbered = ordinal_within(firsts, "sample", "first").select(
+        "sample", "lang", F.concat_ws("-", "sample", F.col("ordinal").cast("string")).alias("cluster_id")
+    )
+    return rows.join(numbered, ["sample", "lang"])
+
+
+def cluster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_articles(spark, sf_dir).select(
+        "cluster_id", "article_id", "title", "text", "nouns", "topic", F.col("source_domain").alias("domain")
+    )
+
+
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(
+        F.lit("all").alias("grp"), F.col("vec_id").alias("id"), F.col("embedding").alias("vec")
+    )
+
+
+def topic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A (word, topic, weight) lexicon: the words of the benchmark items, a topic per item."""
+    items = table(spark, sf_dir, "benchmark")
+    topic = _pick(TOPICS, F.col("item_id") % 12)
+    rows = items.select(F.explode(words(F.col("text"))).alias("word"), topic.alias("topic"))
+    return rows.distinct().withColumn("weight", F.lit(1.0))
+
+
+def polarity_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A (word, polarity) lexicon: +1 for words users write more often than others, else -1."""
+    turns = table(spark, sf_dir, "conversations")
+    rows = turns.select(F.explode(words(F.col("text"))).alias("word"), F.when(F.col("role") == "user", 1).otherwise(-1).alias("p"))
+    return rows.groupBy("word").agg(F.when(F.sum("p") > 0, 1.0).otherwise(-1.0).alias("polarity"))
 
 
 def thread_days(spark: SparkSession, sf_dir: str) -> DataFrame:
