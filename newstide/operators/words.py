@@ -57,38 +57,61 @@ def rank_words(counts: DataFrame, limit: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
 
 
-def _shares(profile: DataFrame, kind: str) -> DataFrame:
-    label = F.col("topic" if kind == "topic" else "sentiment")
-    per_word = Window.partitionBy("sample", "word")
-    return (
-        profile.where(label.isNotNull())
-        .groupBy("sample", "word", label.alias("label"))
-        .agg(F.sum("cnt").alias("n"))
-        .withColumn("percentage", F.bround(F.col("n") / F.sum("n").over(per_word) * 100, 0).cast("int"))
-        .select("sample", "word", F.lit(kind).alias("kind"), "label", "n", "percentage")
+def _both_kinds(topic: Column, sentiment: Column, n: Column) -> Column:
+    """A count under its topic and under its sentiment, as an array of (kind, label, n)."""
+    return F.array(
+        F.struct(F.lit("topic").alias("kind"), topic.alias("label"), n.alias("n")),
+        F.struct(F.lit("sentiment").alias("kind"), sentiment.alias("label"), n.alias("n")),
     )
 
 
+def _percentage(*group: str) -> Column:
+    """Half-even whole percent of ``n`` among the rows of the group that have a label."""
+    total = F.sum(F.when(F.col("label").isNotNull(), F.col("n"))).over(Window.partitionBy(*group))
+    return F.bround(F.col("n") / total * 100, 0).cast("int")
+
+
 def word_context(profile: DataFrame) -> DataFrame:
     """Topic and sentiment shares of each word over its valid labels, in whole percent."""
-    return _shares(profile, "topic").unionByName(_shares(profile, "sentiment"))
+    both = F.explode(_both_kinds(F.col("topic"), F.col("sentiment"), F.col("cnt")))
+    return (
+        profile.select("sample", "word", both.alias("x"))
+        .where("x.label is not null")
+        .groupBy("sample", "word", "x.kind", "x.label")
+        .agg(F.sum("x.n").alias("n"))
+        .withColumn("percentage", _percentage("sample", "word", "kind"))
+    )
 
 
 def daily_words(clean: DataFrame, limit: int = 15) -> DataFrame:
-    """Ranked words, one row per label; a word without any valid label has kind 'none'."""
-    profile = word_profile(clean)
-    top = rank_words(profile.groupBy("sample", "word").agg(F.sum("cnt").alias("cnt")), limit)
-    context = word_context(profile.join(top.select("sample", "word"), ["sample", "word"], "left_semi"))
-    return top.join(context, ["sample", "word"], "left").select(
+    """Ranked words, one row per label; a word without any valid label has kind 'none'.
+
+    One pass: the counts by (topic, sentiment) ride along with each word as a list,
+    at most one entry per pair of labels, and only the lists of the top words are opened.
+    """
+    pairs = F.collect_list(F.struct("topic", "sentiment", "cnt")).alias("pairs")
+    per_word = word_profile(clean).groupBy("sample", "word").agg(F.sum("cnt").alias("cnt"), pairs)
+    opened = F.flatten(F.transform("pairs", lambda p: _both_kinds(p["topic"], p["sentiment"], p["cnt"])))
+    labelled = F.count("label").over(Window.partitionBy("sample", "word"))
+    rows = (
+        rank_words(per_word, limit)
+        .select("sample", "rank", "word", "cnt", F.explode(opened).alias("x"))
+        .groupBy("sample", "rank", "word", "cnt", "x.kind", "x.label")
+        .agg(F.sum("x.n").alias("n"))
+        .withColumn("percentage", _percentage("sample", "word", "kind"))
+        .withColumn("_labelled", labelled)
+    )
+    missing = (F.col("_labelled") == 0) & (F.col("kind") == "topic")
+    return rows.where(F.col("label").isNotNull() | missing).select(
         "sample",
         "rank",
         "word",
         "cnt",
-        F.coalesce("kind", F.lit("none")).alias("kind"),
+        F.when(F.col("label").isNull(), "none").otherwise(F.col("kind")).alias("kind"),
         "label",
-        "n",
+        F.when(F.col("label").isNotNull(), F.col("n")).alias("n"),
         "percentage",
-    )
+    ).withColumn("percentage", F.when(F.col("label").isNotNull(), F.col("percentage")))
 
 
 def daily_words_nested(clean: DataFrame, limit: int = 15) -> DataFrame:

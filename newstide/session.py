@@ -52,6 +52,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Redistribute a small file that arrives in fewer splits than the cluster has cores.
+
+    Text work is bound by the processor, and a few row groups would keep most cores idle.
+    Large inputs have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` stays under ``max_rows``."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -14,8 +14,10 @@ from newstide.functions.samples import sample_batch, sample_date
 from newstide.functions.text import blank_to_null, strip, terms, words
 from newstide.functions.urls import source_domain
 from newstide.operators.ordinals import ordinal_within
+from newstide.session import spread
 
 AS_OF = "2025-08-15 00:00:00"
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
 
 # The weights of the reputable domains, keyed by the hosts the derived urls have.
 TEST_SOURCE_WEIGHTS = dict(
@@ -29,7 +31,8 @@ TEST_SCORING = ScoringConfig(source_weights=TEST_SOURCE_WEIGHTS)
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
 
 
 def as_of():
