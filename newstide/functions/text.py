@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,6 +149,16 @@ def without_stop_words(tokens: Column, stop_words: list[str] | None = None) -> C
     return F.filter(tokens, lambda w: ~w.isin(stops))
 
 
+def explode_words(df: DataFrame, tokens: Column, *keep: str, name: str = "word") -> DataFrame:
+    """One row per token, beside the kept columns.
+
+    A plain explode would also filter on the size of the array, which works the
+    tokens out a second time below it; the outer form with a null check does not.
+    """
+    rows = df.select(*keep, F.explode_outer(tokens).alias(name))
+    return rows.where(F.col(name).isNotNull())
+
+
 def one_and_two_grams(tokens: Column) -> Column:
     """The tokens and each pair of neighbours joined by a blank."""
     pairs = F.when(

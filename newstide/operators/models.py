@@ -145,7 +145,7 @@ def extract_terms(
 
 
 def _lexicon_hits(df: DataFrame, lexicon: DataFrame, column: str) -> DataFrame:
-    words = df.select("article_id", F.explode(tx.words(F.col(column))).alias("word"))
+    words = tx.explode_words(df, tx.words(F.col(column)), "article_id")
     return words.join(broadcast_if_small(lexicon), "word")
 
 
@@ -230,8 +230,8 @@ def vector_text() -> Column:
 
 
 def _slots(df: DataFrame, text: Column, dims: int) -> DataFrame:
-    words = df.select("article_id", F.explode(tx.words(text)).alias("w"))
-    return words.groupBy("article_id", F.pmod(F.xxhash64("w"), F.lit(dims)).cast("int").alias("slot")).agg(F.count("*").alias("tf"))
+    words = tx.explode_words(df, tx.words(text), "article_id")
+    return words.groupBy("article_id", F.pmod(F.xxhash64("word"), F.lit(dims)).cast("int").alias("slot")).agg(F.count("*").alias("tf"))
 
 
 def fit_idf(df: DataFrame, text: Column | None = None, dims: int = DIMENSIONS) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newstide.config import INVALID_SENTIMENTS, INVALID_TOPICS
-from newstide.functions.text import strip
+from newstide.functions.text import explode_words, strip
 
 
 def valid_topic(topic: Column) -> Column:
@@ -21,12 +21,13 @@ def valid_sentiment(label: Column) -> Column:
 
 def word_occurrences(clean: DataFrame) -> DataFrame:
     """One row per noun of each article, with its valid topic and sentiment or null."""
-    return clean.select(
+    labelled = clean.select(  # before the explode, so that labels are checked once per article
         "sample",
         valid_topic(F.col("topic")).alias("topic"),
         valid_sentiment(F.col("sentiment.label")).alias("sentiment"),
-        F.explode("nouns").alias("word"),
+        "nouns",
     )
+    return explode_words(labelled, F.col("nouns"), "sample", "topic", "sentiment")
 
 
 def word_profile(clean: DataFrame) -> DataFrame:

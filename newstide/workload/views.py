@@ -14,7 +14,7 @@ from newstide.functions.samples import sample_batch, sample_date
 from newstide.functions.text import blank_to_null, strip, terms, words
 from newstide.functions.urls import source_domain
 from newstide.operators.ordinals import ordinal_within
-from newstide.session import spread
+from newstide.session import cut, spread
 
 AS_OF = "2025-08-15 00:00:00"
 TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
@@ -165,9 +165,10 @@ def raw_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = articles(spark, sf_dir).select(
         F.col("article_id").alias("ord"), "title", F.when(F.col("source") != "src19", F.col("url")).alias("url"), "text", "source", "sample", "scraped_at"
     )
-    pages = table(spark, sf_dir, "pages").select(
+    # Extracted once: the filters that follow would work the text out again.
+    pages = cut(table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("ord"), page_title(F.col("html")).alias("title"), "url", article_text(F.col("html")).alias("text"), F.lit("pages").alias("source")
-    )
+    ))
     turns = table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"),
         F.col("role").alias("title"),
