@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,4 +112,5 @@ def run_gather(tables: Tables, raw: DataFrame, sample: str, as_of: Column, polar
         if prev:
             known = tables.read("metadata")
             tables.rewrite("metadata", known.withColumn("next", F.when(F.col("sample") == prev, F.lit(sample)).otherwise(F.col("next"))))
+        return replace(out, link_pool=tables.read("link_pool"))  # the old files are gone
     return out
