@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from newstide.config import SENTENCE_BREAK_PATTERN, WHITESPACE
 from newstide.functions import text as tx
 from newstide.functions.vectors import l2_normalize
-from newstide.session import broadcast_if_small
+from newstide.session import broadcast_if_small, cut
 
 Summariser = Callable[[str, int, int], str]  # (text, longest, shortest) -> summary
 
@@ -239,7 +239,7 @@ def fit_idf(df: DataFrame, text: Column | None = None, dims: int = DIMENSIONS) -
     text = vector_text() if text is None else text
     n = df.agg(F.count("*")).first()[0]
     seen = _slots(df, text, dims).groupBy("slot").agg(F.count("*").alias("df"))
-    return seen.select("slot", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf"))
+    return cut(seen.select("slot", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf")))
 
 
 def embed_text(df: DataFrame, idf: DataFrame, text: Column | None = None, dims: int = DIMENSIONS) -> DataFrame:
