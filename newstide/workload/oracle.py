@@ -200,7 +200,7 @@ def filters() -> dict[str, str]:
     keyword = " OR ".join(f"contains(lower(x), {lit(k)})" for k in BOILERPLATE_KEYWORDS)
     return {
         "candidate_filter": with_(RAW, "SELECT source_ord, pos, url, title, md5(text) AS text_md5 FROM candidates"),
-        "union_sources": with_(RAW, "SELECT source_ord, pos, url, title, source, length(text) AS n FROM raw"),
+        "union_sources": with_(RAW, "SELECT source_ord, pos, url, title, source, length(text)::int AS n FROM raw"),
         "unwanted_filter": with_(ARTICLES, f"SELECT article_id, sample FROM articles WHERE NOT ({snippets})"),
         "published_on": with_(
             ARTICLES,

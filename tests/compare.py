@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 
 import duckdb
@@ -21,10 +20,12 @@ def connect(sf_dir: str):
     return con
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def _norm(value):
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 6) + 0.0
-    return value
+    """Floats must agree to the last digit; both sides round."""
+    return repr(value) if isinstance(value, float) else value
 
 
 def _rows(columns, rows):
@@ -39,6 +40,10 @@ def differences(df, con, sql: str) -> str | None:
     got_names, got = _rows(df.columns, [tuple(r) for r in df.collect()])
     if names != got_names:
         return f"columns {got_names} != {names}"
+    kinds = {d[0]: str(d[1]) for d in cur.description}
+    other = {c: (t, kinds[c]) for c, t in df.dtypes if TYPES.get(t) != kinds[c]}
+    if other:
+        return f"types {other}"
     if got != want:
         extra, missing = list((got - want).items())[:3], list((want - got).items())[:3]
         return f"{sum(got.values())} vs {sum(want.values())} rows; extra {extra}; missing {missing}"
