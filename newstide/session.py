@@ -16,6 +16,8 @@ def build_session(app: str = "newstide", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Lets the adaptive planner hash-join partitions it has seen to be small, instead of sorting them.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
@@ -71,3 +73,15 @@ def side_by_side(*frames: DataFrame) -> DataFrame:
     """Put one-row frames with different columns into one row, without a join."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For large results that several branches read: unlike a checkpoint it is columnar,
+    so each branch reads only its columns.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -556,7 +556,7 @@ reach(v, r) AS (SELECT a, a FROM near UNION SELECT reach.v, near.b FROM reach JO
             "SELECT v AS vec_id, min(r) AS component FROM reach GROUP BY v",
         ),
         "resolve_vectors": """
-            WITH v AS (SELECT vec_id, label, CASE WHEN NOT (vec_id % 97 = 3 AND label < 5) THEN embedding END AS stored, embedding FROM embeddings),
+            WITH v AS (SELECT vec_id, label, CASE WHEN embedding[1]::double <= 0.2::double OR label >= 5 THEN embedding END AS stored, embedding FROM embeddings),
             f AS (SELECT label, bool_and(stored IS NOT NULL) AS reuse FROM v GROUP BY 1)
             SELECT vec_id AS article_id, v.label::varchar AS sample, reuse,
                    round((CASE WHEN reuse THEN embedding[1] ELSE embedding[-1] END)::double

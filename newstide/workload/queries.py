@@ -474,7 +474,7 @@ def resolve_vectors(spark, sf_dir):
     """Labels as samples; those with a missing vector are computed anew, here as the vector reversed."""
     rows = V.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("article_id"), F.col("label").cast("string").alias("sample"), F.col("embedding").alias("raw"),
-        F.when(~((F.col("vec_id") % 97 == 3) & (F.col("label") < 5)), F.col("embedding")).alias("embedding"),
+        F.when((F.get("embedding", F.lit(0)) <= 0.2) | (F.col("label") >= 5), F.col("embedding")).alias("embedding"),
     )
     out = MD.resolve_vectors(rows, lambda df: df.select("article_id", VX.l2_normalize(F.reverse("raw")).alias("vec")))
     return out.select("article_id", "sample", "reuse", F.round(F.get("vec", F.lit(0)), 6).alias("first_value"))
