@@ -140,7 +140,7 @@ def test_valid_sample(spark, sample, ok):
 
 
 def test_samples_order_by_date_then_batch(spark):
-    ids = ["2-2025-08-10", "10-2025-08-10", "1-2025-08-12", "x-2025-08-13", "2025-08-14", "scoring_v1", "3-2024-12-31"]
+    ids = ["2-2025-08-10", "10-2025-08-10", "1-2025-08-12", "x-2025-08-13", "2025-08-14", "settings", "3-2024-12-31"]
     df = spark.createDataFrame([(i,) for i in ids], "sample string")
     assert SM.latest_sample(df).first()[0] == "1-2025-08-12"
     assert [r.sample for r in SM.latest_samples(df, 3).collect()] == ["1-2025-08-12", "10-2025-08-10", "2-2025-08-10"]
