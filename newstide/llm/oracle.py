@@ -2,6 +2,63 @@
 
 from __future__ import annotations
 
+from newstide.llm import secret_scan, urlfilter
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secret_spans(rule: secret_scan.Rule, order: int) -> str:
+    """List of {start, ord, end, kind} of a rule's matches; lower-casing A to Z keeps positions."""
+    text, pattern = "t", rule.pattern
+    if rule.any_case:
+        text, pattern = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", pattern.replace("A-Za-z", "a-z")
+    p = _quote(pattern)
+    return f"""(
+      SELECT list({{'start': s, 'ord': {order}, 'end': s + len(m), 'kind': '{rule.kind}'}})
+      FROM (
+        SELECT m, k, CAST(sum(len(g) + len(m)) OVER (ORDER BY i) - len(m) AS INTEGER) AS s
+        FROM (
+          SELECT unnest(regexp_extract_all({text}, {p}, 0)) AS m, unnest(regexp_extract_all({text}, {p}, {rule.group})) AS k,
+            unnest(regexp_split_to_array({text}, {p})[:-2]) AS g, generate_subscripts(regexp_extract_all({text}, {p}, 0), 1) AS i
+        )
+      ) WHERE len(k) >= {rule.least}
+    )"""
+
+
+def _secrets_sql() -> str:
+    rules = secret_scan.BASE + secret_scan.EXTRA
+    base = ", ".join(_quote(r.kind) for r in secret_scan.BASE)
+    spans = ", ".join(f"coalesce({_secret_spans(r, i)}, [])" for i, r in enumerate(rules))
+    listed = "array_to_string(list_transform({}, lambda x: x.kind || ':' || x.start || ':' || x.end), ',')"
+    counts = ", ".join(f"CAST(len(list_filter(spans, lambda x: x.kind = '{r.kind}')) AS BIGINT) AS n_{r.kind}" for r in secret_scan.BASE)
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    found AS (SELECT doc_id, list_sort(flatten([{spans}])) AS spans FROM d)
+    SELECT doc_id, {counts},
+      sha256({listed.format(f"list_filter(spans, lambda x: x.kind IN ({base}))")}) AS base_sha256,
+      {listed.format("spans")} AS spans
+    FROM found"""
+
+
+def _url_sql() -> str:
+    rules = sorted(urlfilter.HOST_RULES, key=lambda r: -len(r.name))
+    fits = [f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))" for r in rules]
+    name = " ".join(f"WHEN {f} THEN '{r.name}'" for f, r in zip(fits, rules, strict=True))
+    verdict = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in zip(fits, rules, strict=True))
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+    WITH cut AS (
+      SELECT page_id, {low.format("coalesce(url, '')")} AS url_low,
+        CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+      FROM pages),
+    p AS (
+      SELECT page_id, url_low, {low.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+      FROM cut)
+    SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict} ELSE {urlfilter.verdict_sql()} END AS verdict FROM p"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_trigram_secrets": _secrets_sql(), "op8_url_rules": _url_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import packing
+from newstide.llm import packing, secret_scan, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -33,3 +33,23 @@ def op5_cost_packing(spark, sf_dir):
     """Pieces of all documents in sequences of 4096 tokens, balanced by estimated attention cost."""
     out = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op6_trigram_secrets(spark, sf_dir):
+    """Secrets of every document: counts and spans of the base rules, and all spans."""
+    rows = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.BASE]
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select(
+        "doc_id",
+        *[count(kind) for kind in base],
+        F.sha2(secret_scan.listed(F.filter("secrets", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("secrets")).alias("spans"),
+    )
+
+
+@query
+def op8_url_rules(spark, sf_dir):
+    """Verdict on the url of every page."""
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
