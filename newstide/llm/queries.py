@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import packing, secret_scan, urlfilter
+from newstide.llm import packing, secret_scan, simhash, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -53,3 +53,10 @@ def op6_trigram_secrets(spark, sf_dir):
 def op8_url_rules(spark, sf_dir):
     """Verdict on the url of every page."""
     return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+@query
+def op7_gray_simhash(spark, sf_dir):
+    """Fingerprint and near-duplicate component of every document."""
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
