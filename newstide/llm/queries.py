@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import packing, secret_scan, simhash, urlfilter
+from newstide.llm import decontam, isoforest, packing, pairrank, secret_scan, simhash, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -60,3 +60,30 @@ def op7_gray_simhash(spark, sf_dir):
     """Fingerprint and near-duplicate component of every document."""
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def held_out(doc_id):
+    """Rows that take no part in learning: the remainder of the CRC of the id as text, divided by 4, is 2."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+@query
+def op3_pairwise_quality(spark, sf_dir):
+    """Quality of every document by a pairwise ranking model learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = pairrank.fit(docs, table(spark, sf_dir, "labels"), usable=~held_out("doc_id"))
+    return pairrank.score_quality(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_isolation_rules(spark, sf_dir):
+    """Rule statistics of every document and whether the rules and the isolation forest keep it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return isoforest.judge(docs, isoforest.fit(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
+@query
+def op2_bm25_decontamination(spark, sf_dir):
+    """Documents that contain a benchmark item, with the share of question and answer found."""
+    found = decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", *[F.round(c, 6).alias(c) for c in ("score", "question_overlap", "answer_overlap", "overlap")])
