@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import decontam, isoforest, packing, pairrank, secret_scan, simhash, urlfilter
+from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, urlfilter
+from newstide.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -87,3 +88,11 @@ def op2_bm25_decontamination(spark, sf_dir):
     """Documents that contain a benchmark item, with the share of question and answer found."""
     found = decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", *[F.round(c, 6).alias(c) for c in ("score", "question_overlap", "answer_overlap", "overlap")])
+
+
+@query
+def op9_rans_tokens(spark, sf_dir):
+    """Ids of every document written to files and read back from them."""
+    path = scratch_path(spark, "tokens")
+    rans.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return rans.read_tokens(spark, path, ids_crc32=F.crc32)
