@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, urlfilter
+from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, urlfilter, warc
 from newstide.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,11 @@ def op9_rans_tokens(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     rans.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return rans.read_tokens(spark, path, ids_crc32=F.crc32)
+
+
+@query
+def op1_warc_chain(spark, sf_dir):
+    """Pages written as WARC records and read back, with revisits of equal payloads."""
+    path = scratch_path(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    return warc.page_payloads(spark, path)
