@@ -32,8 +32,8 @@ class LeakConfig:
     least_score: float = 0.6
     least_overlap: float = 0.8
     shingle: int = 5
-    block: int = 16
-    shard_items: int = 4096
+    block: int = 4
+    shard_items: int = 1024
     k1: float = 1.2
     b: float = 0.75
 
@@ -173,7 +173,7 @@ def shingles_of_width(words: list[str], width: int) -> set[tuple[str, ...]]:
 def indexes(benchmark: DataFrame, cfg: LeakConfig) -> Iterator[ItemIndex]:
     """The benchmark in shards of about ``shard_items`` items; only one shard is on the driver at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    words = F.size(F.split(F.trim("text"), r"\W+"))
+    words = F.size(F.split(F.trim("text"), r"(?U)\W+"))
     n, longest = items.agg(F.count("*"), F.max(words)).first()
     passage = 2 * max(32, longest or 0)
     shards = -(-n // cfg.shard_items)
