@@ -211,10 +211,13 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, cfg: LeakConfig = LeakCon
     """``docs`` without the rows that contain an item; all columns stay, and so do rows with a null or empty text."""
     bounded_batches(docs.sparkSession)
     for index in indexes(benchmark, cfg):
+        docs = docs.where(~_leaked(index)("text"))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def leaked(texts: pd.Series, index: ItemIndex = index) -> pd.Series:
-            return pd.Series([bool(index.search(t)) for t in texts], dtype=bool)
 
-        docs = docs.where(~leaked("text"))
-    return docs
+def _leaked(index: ItemIndex):
+    @F.pandas_udf("boolean")
+    def leaked(texts: pd.Series) -> pd.Series:
+        return pd.Series([bool(index.search(t)) for t in texts], dtype=bool)
+
+    return leaked

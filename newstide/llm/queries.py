@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, urlfilter, warc
+from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, unigram, urlfilter, warc
 from newstide.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,9 @@ def op1_warc_chain(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_pages(table(spark, sf_dir, "pages"), path)
     return warc.page_payloads(spark, path)
+
+
+@query
+def op4_unigram_counts(spark, sf_dir):
+    """Tokens of every document under the unigram vocabulary, and the score of the best segmentation."""
+    return unigram.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("piece_bpe_32k.model")).drop("text")

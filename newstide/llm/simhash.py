@@ -237,19 +237,37 @@ def components(edges: DataFrame) -> DataFrame:
         e = cut(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, keep: dict[str, str] | None = None, order: Column | None = None) -> DataFrame:
+def named_components(unique: DataFrame) -> DataFrame:
+    """(fp, component_id) of distinct fingerprints ``fp`` with ``first_id``: the smallest one in the component."""
+    tied = cut(components(link_edges(unique)))
+    tied = tied.unionByName(tied.select(F.col("root").alias("node"), "root").distinct())
+    ids = cut(tied.join(unique, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("first_id").alias("component_id")))
+    named = tied.join(ids, "root").select(F.col("node").alias("fp"), "component_id")
+    return stage(unique.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "components")
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, keep: dict[str, str] | None = None) -> DataFrame:
     """Columns ``keep`` (default ``doc_id``), ``fp`` and ``component_id`` for every row of ``docs``.
 
-    Rows are linked when their fingerprints differ in 3 bits or fewer; ``component_id`` is the smallest ``order`` (default
-    ``doc_id``) that can be reached. Null and empty texts have fingerprint zero and link like any other. Repeated rows stay.
+    Rows are linked when their fingerprints differ in 3 bits or fewer; ``component_id`` is the smallest ``doc_id``
+    that can be reached. Null and empty texts have fingerprint zero and link like any other. Repeated rows stay.
     A component in which every ``doc_id`` is null has a null id. An empty table gives an empty result.
     """
     keep = keep or {"doc_id": "long"}
     marked = stage(fingerprints(docs, keep, width), "fingerprints")
-    unique = stage(marked.groupBy("fp").agg(F.min(F.col("doc_id") if order is None else order).alias("first_id")), "unique")
-    tied = cut(components(link_edges(unique)))
-    tied = tied.unionByName(tied.select(F.col("root").alias("node"), "root").distinct())
-    ids = cut(tied.join(unique, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("first_id").alias("component_id")))
-    named = tied.join(ids, "root").select(F.col("node").alias("fp"), "component_id")
-    named = stage(unique.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "components")
+    unique = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "unique")
+    named = named_components(unique)
     return marked.join(named, "fp").select(*keep, "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
+    """One row of each component of near-duplicates, with all columns: that of the smallest ``doc_id``, ties by the hash of
+    the text; of rows equal in both, any one. Rows with a null id stand behind others."""
+    names = docs.columns
+    keyed = docs.withColumns({"key__": F.xxhash64("doc_id", "text"), "check__": F.hash("text", "doc_id")})
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key__").alias("key"), F.col("check__").alias("check"))
+    marked = stage(fingerprints(keyed, {"doc_id": "long", "key__": "long", "check__": "int"}, width), "fingerprints")
+    unique = stage(marked.groupBy("fp").agg(F.min(rank).alias("first_id")), "unique")
+    first = named_components(unique).select(F.col("component_id.key").alias("key__"), F.col("component_id.check").alias("check__"))
+    first = stage(first.distinct(), "first")
+    return keyed.join(first, ["key__", "check__"], "left_semi").dropDuplicates(["key__", "check__"]).select(*names)
