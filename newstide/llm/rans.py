@@ -158,6 +158,8 @@ def decode_segment(data: bytes, first: int = 0, last: int | None = None) -> np.n
         next_word = next_word + took[:, -1]
         out[:, t] = sym
         state = x if whole else np.where(used, x, state)
+    if (state != LOW).any():  # where the encoder began
+        raise ChecksumError("damaged stream")
     flat = symbols[out.reshape(-1)]
     if not whole:
         flat = flat[: int(counts.sum())]

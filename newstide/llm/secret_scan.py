@@ -181,31 +181,30 @@ def candidates(docs: DataFrame, rules: dict[str, list[Clause]]) -> DataFrame:
     return met.groupBy("text_key").agg(F.collect_set("kind").alias("kinds"))  # at most one entry per rule
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
-    """All columns of ``docs`` and ``secrets``, an array of (start, order, end, kind) sorted by start and rule order.
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + EXTRA, out: str = "secrets") -> DataFrame:
+    """All columns of ``docs`` and ``out``, an array of (start, order, end, kind) sorted by start and rule order.
 
-    A null text has no secrets and stays null; columns named ``secrets``, ``text_key`` or ``kinds`` in the input are
-    replaced, dropped and dropped. Rows are neither lost nor merged: equal texts share their postings only. An empty
-    table gives an empty result.
+    A null text has no secrets and stays null; a column named ``out`` in the input is replaced. Rows are neither lost nor
+    merged: equal texts share their postings only. An empty table gives an empty result.
     """
-    docs = docs.drop("secrets", "text_key", "kinds")
+    docs = docs.drop(out)
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {kind: clauses for kind, clauses in queries.items() if clauses}
-    rows = docs.withColumn("text_key", F.xxhash64("text"))
+    rows = docs.withColumn("text_key__", F.xxhash64("text"))
     if indexed:
         # Staged, so that the planner sees its size, and can split hot texts of the other side.
-        found = stage(candidates(docs, indexed), "candidates")
-        rows = rows.join(found.hint("shuffle_hash"), "text_key", "left")
+        found = stage(candidates(docs.select("text"), indexed).withColumnsRenamed({"text_key": "text_key__", "kinds": "kinds__"}), "candidates")
+        rows = rows.join(found.hint("shuffle_hash"), "text_key__", "left")
     else:
-        rows = rows.withColumn("kinds", F.lit(None).cast("array<string>"))
+        rows = rows.withColumn("kinds__", F.lit(None).cast("array<string>"))
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     parts = []
     for order, rule in enumerate(rules):
         spans = _spans(F.col("text"), rule, order)
         if rule.kind in indexed:
-            spans = F.when(F.array_contains("kinds", rule.kind), spans)
+            spans = F.when(F.array_contains("kinds__", rule.kind), spans)
         parts.append(F.coalesce(spans, none))
-    return rows.withColumn("secrets", F.array_sort(F.concat(*parts))).select(*docs.columns, "secrets")
+    return rows.withColumn(out, F.array_sort(F.concat(*parts))).select(*docs.columns, out)
 
 
 def listed(spans: Column) -> Column:
@@ -215,7 +214,7 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
     """``docs`` with every secret replaced by ``mask``, overlapping ones by one mask; other texts stay as they are."""
-    text, spans = F.col("text"), F.col("secrets")
+    text, spans = F.col("text"), F.col("secrets__")
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
@@ -225,5 +224,5 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = BA
         )
 
     done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))))
-    rows = find_secrets(docs, rules)
-    return rows.withColumn("text", F.when(F.size(spans) > 0, done).otherwise(text)).select(*[c for c in docs.columns])
+    rows = find_secrets(docs, rules, "secrets__")
+    return rows.withColumn("text", F.when(F.size(spans) > 0, done).otherwise(text)).select(*docs.columns)
