@@ -7,7 +7,8 @@ a trained model. ``Models`` injects real ones; each factory runs once per Python
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
@@ -41,7 +42,7 @@ class Models:
 
 
 def leading_sentences(text: str, longest: int, shortest: int) -> str:
-    """Default summariser: whole sentences from the start while they fit, else the first words."""
+    """A summariser to inject: whole sentences from the start while they fit, else the first words."""
     out: list[str] = []
     room = longest
     for sentence in re.split(SENTENCE_BREAK_PATTERN, text):
@@ -53,6 +54,37 @@ def leading_sentences(text: str, longest: int, shortest: int) -> str:
     return " ".join(out) if out else " ".join(text.split()[:longest])
 
 
+#: Words of a stretch of text that has no sentence ends; such stretches are taken in windows.
+WINDOW_WORDS = 40
+
+
+def _stretches(text: str, longest: int) -> list[str]:
+    """Sentences; one of more than ``longest`` words in windows of at most that many."""
+    out = []
+    for sentence in re.split(SENTENCE_BREAK_PATTERN, text):
+        words = sentence.split()
+        out += [sentence] if len(words) <= longest else [" ".join(words[i : i + longest]) for i in range(0, len(words), longest)]
+    return out
+
+
+def salient_sentences(text: str, longest: int, shortest: int) -> str:
+    """Default summariser: the sentences whose words are the commonest of the text, as many as fit, in their order.
+
+    Every sentence of the text can win; ties go to the earlier one, and a sentence that comes again counts once.
+    """
+    parts = _stretches(text, min(longest, WINDOW_WORDS))
+    words = [p.lower().split() for p in parts]
+    counts = Counter(w for ws in words for w in ws)
+    rank = sorted(range(len(parts)), key=lambda i: (-sum(counts[w] for w in words[i]) / max(1, len(words[i])), i))
+    chosen, room, seen = [], longest, set()
+    for i in rank:
+        if 0 < len(words[i]) <= room and tuple(words[i]) not in seen:
+            chosen.append(i)
+            seen.add(tuple(words[i]))
+            room -= len(words[i])
+    return " ".join(parts[i] for i in sorted(chosen))
+
+
 def _chunks(text: str, count: Callable[[str], int], max_tokens: int) -> list[str]:
     """The greedy packing of ``functions.text.chunks`` for any tokenizer."""
     packs: list[list[str]] = [[]]
@@ -72,7 +104,7 @@ def summarize_text(text: str | None, summarise: Summariser, count: Callable[[str
     body = (text or "").strip(WHITESPACE)
     while len(body) >= 200:
         parts = []
-        for chunk in _chunks(body, count, max_tokens):
+        for chunk in _chunks(". ".join(_stretches(body, max_tokens)) if _overlong(body, max_tokens) else body, count, max_tokens):
             n = count(chunk)
             longest = max(int(n * 0.8), 20) if n < 200 else 200
             shortest = min(10, longest // 2) if n < 200 else 80
@@ -87,16 +119,21 @@ def summarize_text(text: str | None, summarise: Summariser, count: Callable[[str
     return body
 
 
+def _overlong(text: str, max_tokens: int) -> bool:
+    return any(len(s.split()) > max_tokens for s in re.split(SENTENCE_BREAK_PATTERN, text))
+
+
 def _word_count(text: str) -> int:
     return len(text.split())
 
 
 def summarize(df: DataFrame, column: str = "text", out: str = "summary", models: Models = Models()) -> DataFrame:
     @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        make = models.summariser() if models.summariser else leading_sentences
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        make = models.summariser() if models.summariser else salient_sentences  # once per task
         count = models.tokens() if models.tokens else _word_count
-        return texts.map(lambda t: summarize_text(t, make, count))
+        for texts in batches:
+            yield texts.map(lambda t: summarize_text(t, make, count))
 
     return df.withColumn(out, run(F.col(column)))
 
@@ -121,9 +158,10 @@ def extract_terms(
     if models.tagger:
 
         @F.pandas_udf("array<string>")
-        def tag(texts: pd.Series) -> pd.Series:
+        def tag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             nouns = models.tagger()
-            return texts.map(lambda t: list(nouns(t or "")))
+            for texts in batches:
+                yield texts.map(lambda t: list(nouns(t or "")))
 
         return df.withColumn("nouns", tag(F.col("text")))
     nouns = tx.terms(F.col("text"), stop_words)
@@ -180,10 +218,11 @@ def topic_lexicon(spark, topics: list[str]) -> DataFrame:
 def classify(df: DataFrame, topics: DataFrame, polarity: DataFrame, models: Models = Models()) -> DataFrame:
     """Add summary, topic, sentiment and status to articles.
 
-    Texts of at most 200 characters stand for themselves, longer ones are summarised.
-    A row whose model call fails gets status 'failed'; all others 'ok'.
+    Texts of at most 200 characters stand for themselves, longer ones are summarised. Topic and sentiment each come from
+    an injected model where there is one, else from the lexicon. A row whose model call fails gets status 'failed'; all
+    others 'ok'.
     """
-    if not (models.topic and models.sentiment):
+    if not (models.topic or models.sentiment):
         short = F.length("text") <= 200
         rows = choose_summary(df.withColumn("summary", F.when(short, F.col("text"))), models)
         return classify_sentiment(classify_topic(rows, topics), polarity).withColumn("status", F.lit("ok"))
@@ -196,15 +235,16 @@ def classify(df: DataFrame, topics: DataFrame, polarity: DataFrame, models: Mode
     )
 
     def run(batches):
-        topic, mood = models.topic(), models.sentiment()
-        make = models.summariser() if models.summariser else leading_sentences
+        topic = models.topic() if models.topic else None
+        mood = models.sentiment() if models.sentiment else None
+        make = models.summariser() if models.summariser else salient_sentences
         count = models.tokens() if models.tokens else _word_count
 
         def one(text: str):
             try:
                 body = text if len(text) <= 200 else summarize_text(text, make, count)
-                labels = topic(body).get("labels") or ["unknown"]
-                found = mood(body)
+                labels = (topic(body).get("labels") or ["unknown"]) if topic else [None]
+                found = mood(body) if mood else {}
                 return body, labels[0], {"label": found.get("label"), "score": found.get("score")}, "ok"
             except Exception:
                 return None, None, None, "failed"
@@ -216,7 +256,13 @@ def classify(df: DataFrame, topics: DataFrame, polarity: DataFrame, models: Mode
                 out[name] = pd.Series([r[i] for r in results], index=out.index, dtype="object")
             yield out
 
-    return df.mapInPandas(run, schema)
+    rows = df.mapInPandas(run, schema)
+    if models.topic and models.sentiment:
+        return rows
+    rows = cut(rows)  # the models ran once; what they left open comes from the lexicon
+    ok = rows.where("status = 'ok'")
+    ok = classify_sentiment(ok, polarity) if models.topic else classify_topic(ok, topics)
+    return ok.select(*rows.columns).unionByName(rows.where("status <> 'ok'"))
 
 
 # --- vectors -----------------------------------------------------------------
@@ -235,20 +281,23 @@ def _slots(df: DataFrame, text: Column, dims: int) -> DataFrame:
 
 
 def fit_idf(df: DataFrame, text: Column | None = None, dims: int = DIMENSIONS) -> DataFrame:
-    """(slot, idf): at most ``dims`` rows. Fit once, store with a version, and use for all days to be compared."""
+    """(slot, idf, n): at most ``dims`` rows, ``n`` being the number of texts. Fit once, store, and use for all days to be compared."""
     text = vector_text() if text is None else text
     n = df.agg(F.count("*")).first()[0]
     seen = _slots(df, text, dims).groupBy("slot").agg(F.count("*").alias("df"))
-    return cut(seen.select("slot", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf")))
+    return cut(seen.select("slot", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf"), F.lit(n).cast("long").alias("n")))
 
 
 def embed_text(df: DataFrame, idf: DataFrame, text: Column | None = None, dims: int = DIMENSIONS) -> DataFrame:
     """(article_id, vec): hashed TF-IDF vector of length 1, sparse. Rows without words give none.
 
-    ``idf`` has at most ``dims`` rows, which bounds its broadcast.
+    Slots that the weight table has not seen have the weight of a word in no text, ln(1 + n) + 1, so no word is lost.
     """
     text = vector_text() if text is None else text
-    cells = _slots(df, text, dims).join(F.broadcast(idf), "slot").select("article_id", "slot", (F.col("tf") * F.col("idf")).alias("x"))
+    n = idf.agg(F.max("n")).first()[0] if "n" in idf.columns else None
+    unseen = float(np.log(1 + (n or 0)) + 1)
+    known = broadcast_if_small(idf.select("slot", "idf"), dims)
+    cells = _slots(df, text, dims).join(known, "slot", "left").select("article_id", "slot", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("x"))
     rows = cells.groupBy("article_id").agg(F.sort_array(F.collect_list(F.struct("slot", "x"))).alias("c"))
     values = l2_normalize(F.transform("c", lambda c: c["x"]))
     return rows.select("article_id", F.struct(F.transform("c", lambda c: c["slot"]).alias("indices"), values.alias("values")).alias("vec"))

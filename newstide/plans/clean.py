@@ -26,7 +26,7 @@ def clean(articles: DataFrame, idf: DataFrame | None = None, lexicon: DataFrame
         .join(vectors.withColumnRenamed("vec", "embedding"), "article_id", "left")
         .withColumn("source_domain", source_domain(F.col("url")))
         .withColumn("isProcessed", F.lit(False))
-        .withColumn("isEmbedded", F.lit(True))
+        .withColumn("isEmbedded", F.col("embedding").isNotNull())
         .withColumn("isCleaned", F.lit(True))
     )
     return out.select(*COLUMNS)
@@ -41,9 +41,9 @@ def stamp(tables: Tables, sample: str, **values: Column) -> None:
 
 
 def run_clean(tables: Tables, sample: str, as_of: Column, idf: DataFrame | None = None, models: Models = Models()) -> None:
-    """Clean one sample of the stored articles and mark the articles cleaned."""
+    """Clean one sample of the stored articles and mark the articles cleaned; a second run replaces the rows of the first."""
     articles = tables.read("articles").where(F.col("sample") == sample)
-    tables.append("clean_articles", clean(articles, idf, models=models), unique=["sample", "url"])
+    tables.upsert("clean_articles", clean(articles, idf, models=models), ["sample", "url"])
     done = tables.read("clean_articles").where(F.col("sample") == sample)
     tables.rewrite("articles", set_where(articles, done, ["article_id"], isCleaned=True))
     stamp(tables, sample, cleaning_started_at=as_of, cleaning_finished_at=as_of)

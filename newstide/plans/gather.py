@@ -46,8 +46,11 @@ def _numbered(new: DataFrame) -> DataFrame:
     """Article ids that follow day, batch and intake order."""
     ranked = ordinal_within(new.withColumn("_at", F.struct("source_ord", "pos")), "sample", "_at")
     day = F.datediff(sample_date(F.col("sample")), F.lit("1970-01-01").cast("date")).cast("long")
-    base = (day * 1000 + sample_batch(F.col("sample"))) * 10_000_000_000
-    return ranked.withColumn("article_id", base + F.col("ordinal")).drop("_at", "ordinal")
+    batch = sample_batch(F.col("sample"))
+    base = (day * 1000 + batch) * 10_000_000_000
+    fits = (batch < 1000) & (F.col("ordinal") < 10_000_000_000)
+    number = F.when(fits, base + F.col("ordinal")).otherwise(F.raise_error(F.lit("batch or ordinal beyond the range of article ids")).cast("long"))
+    return ranked.withColumn("article_id", number).drop("_at", "ordinal")
 
 
 def _shares(done: DataFrame, kind: str) -> Column:
@@ -73,7 +76,7 @@ def gather(
     for name, kind in (("published_at", "timestamp"), ("category", "string")):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast(kind))
-    marked = cut(admit(rows, pool))
+    marked = cut(admit(cut(rows), pool))  # read twice: what comes from unordered sources must not be numbered anew
     new = _numbered(marked.where("status = 'new'").drop("status"))
     # Model results feed four outputs and are computed once.
     done = cut(classify(new, topics, polarity, models).withColumn("created_at", as_of.cast("timestamp")))
@@ -105,8 +108,9 @@ def run_gather(tables: Tables, raw: DataFrame, sample: str, as_of: Column, polar
     if persist:
         before = latest_sample(meta.where(F.col("sample") != sample)).first()
         prev = before["sample"] if before else None
-        tables.append("articles", out.articles, unique=["sample", "url"])
-        tables.append("summaries", out.summaries)
+        # Safe to repeat after a stop: rows of the same sample and url are replaced.
+        tables.upsert("articles", out.articles, ["sample", "url"])
+        tables.upsert("summaries", out.summaries, ["sample", "url"])
         tables.rewrite("link_pool", out.link_pool)
         tables.upsert("metadata", out.metadata.withColumn("prev", F.lit(prev)), ["sample"])
         if prev:

@@ -12,7 +12,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), str(ROOT / "tests"), os.e
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from newstide.session import build_session
 
     session = build_session(
@@ -20,6 +20,7 @@ def spark():
         "local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
     )

@@ -25,7 +25,9 @@ def test_query(spark, con, name):
     if name in SQL:
         assert differences(df, con, SQL[name]) is None
     else:
-        assert df.count() >= 0
+        if name == "cluster_vectors":  # small groups are left out; the smallest tables have no group that is large enough
+            df = QUERIES[name](spark, "/root/testdata/sf0.01")
+        assert df.count() > 0
 
 
 def test_entry(spark):
