@@ -557,11 +557,12 @@ reach(v, r) AS (SELECT a, a FROM near UNION SELECT reach.v, near.b FROM reach JO
         ),
         "resolve_vectors": """
             WITH v AS (SELECT vec_id, label, CASE WHEN embedding[1]::double <= 0.2::double OR label >= 5 THEN embedding END AS stored, embedding FROM embeddings),
-            f AS (SELECT label, bool_and(stored IS NOT NULL) AS reuse FROM v GROUP BY 1)
-            SELECT vec_id AS article_id, v.label::varchar AS sample, reuse,
-                   round((CASE WHEN reuse THEN embedding[1] ELSE embedding[-1] END)::double
-                         / (sqrt(list_dot_product(embedding::double[], embedding::double[])) + 1e-9), 6) AS first_value
-            FROM v JOIN f ON f.label = v.label""",
+            f AS (SELECT label, bool_and(stored IS NOT NULL) AS reuse FROM v GROUP BY 1),
+            r AS (SELECT vec_id, v.label::varchar AS sample, reuse, CASE WHEN reuse THEN embedding ELSE list_reverse(embedding) END::double[] AS e,
+                         sqrt(list_dot_product(embedding::double[], embedding::double[])) + 1e-9 AS n
+                  FROM v JOIN f ON f.label = v.label),
+            u AS (SELECT vec_id, sample, reuse, n, unnest(e) AS y, unnest(range(len(e)))::int AS pos FROM r)
+            SELECT vec_id AS article_id, sample, reuse, pos, round(y / n, 6) AS x FROM u""",
         "link_threads": """
             WITH e AS (SELECT vec_id, label, unnest(embedding)::double AS x, unnest(range(len(embedding))) AS pos FROM embeddings),
             c AS (SELECT label, pos, avg(x) AS x FROM e GROUP BY ALL),
@@ -662,7 +663,7 @@ FEED_ROWS = "url, coalesce({title}, '') AS title, source, md5(body) AS text_md5{
 
 
 def landed() -> dict[str, str]:
-    bodies = ", bodies AS (SELECT url AS u, arg_min(text, article_id) AS body FROM articles WHERE isCleaned IS NOT NULL GROUP BY 1)"
+    bodies = ", bodies AS (SELECT url AS u, arg_min(text, article_id) AS body FROM articles GROUP BY 1)"
     return {
         "ingest_feed_json": with_(
             ARTICLES + bodies, f"SELECT {FEED_ROWS.format(title='title', more='')} FROM articles JOIN bodies ON u = url GROUP BY 1, 2, 3, 4"

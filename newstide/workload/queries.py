@@ -271,7 +271,8 @@ def sample_chain(spark, sf_dir):
 def date_spine(spark, sf_dir):
     """Articles per publication day over the whole range of days, 0 on empty days."""
     rows = V.articles(spark, sf_dir).groupBy(F.to_date("published_at").alias("date")).agg(F.count("*").alias("cnt"))
-    days = rows.agg(F.explode(F.sequence(F.min("date"), F.max("date"))).alias("date"))
+    start, end = rows.agg(F.min("date"), F.max("date")).first()
+    days = SM.date_spine(spark, start, end)
     return days.join(rows, "date", "left").select(
         F.date_format("date", "yyyy-MM-dd").alias("date"), F.coalesce("cnt", F.lit(0)).alias("cnt")
     )
@@ -477,7 +478,7 @@ def resolve_vectors(spark, sf_dir):
         F.when((F.get("embedding", F.lit(0)) <= 0.2) | (F.col("label") >= 5), F.col("embedding")).alias("embedding"),
     )
     out = MD.resolve_vectors(rows, lambda df: df.select("article_id", VX.l2_normalize(F.reverse("raw")).alias("vec")))
-    return out.select("article_id", "sample", "reuse", F.round(F.get("vec", F.lit(0)), 6).alias("first_value"))
+    return out.select("article_id", "sample", "reuse", F.posexplode("vec").alias("pos", "x")).withColumn("x", F.round(F.col("x").cast("double"), 6))
 
 
 @query
@@ -612,8 +613,8 @@ def _landed_feed(spark, sf_dir):
 
 
 def _feed_bodies(spark, sf_dir):
-    """A body for the urls of labelled articles."""
-    rows = V.articles(spark, sf_dir).where("isCleaned is not null")
+    """A body for every url."""
+    rows = V.articles(spark, sf_dir)
     return rows.groupBy("url").agg(F.min_by("text", "article_id").alias("text"))
 
 
