@@ -12,6 +12,9 @@ offset zero of every file keeps the records that can be reached, and drops candi
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,6 +137,20 @@ def verified(pieces: DataFrame) -> DataFrame:
     return rows
 
 
+@contextmanager
+def same_splits(spark: SparkSession) -> Iterator[None]:
+    """Fix the number of cores that splits are made for, which would else change where executors are lost between two reads."""
+    name = "spark.sql.files.minPartitionNum"
+    unset = spark.conf.get(name, None) is None
+    if unset:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if unset:
+            spark.conf.unset(name)
+
+
 def read_records(spark: SparkSession, path: str, **derived) -> DataFrame:
     """Reachable records of the WARC files at ``path``: file, offset, head (the header) and ``derived``, columns made from the
     payload as binary by the given functions; ``payload`` itself by default. Empty files have no records.
@@ -147,22 +164,25 @@ def read_records(spark: SparkSession, path: str, **derived) -> DataFrame:
     made = [F.when(whole, fn(body("cast(value as binary)", "head_bytes", "length"))).alias(f"made_{n}") for n, fn in derived.items()]
     # Payloads that lie whole in a piece are dealt with where they are read; only the others travel.
     rows = rows.select("file", "split", "place", "head", "head_bytes", "length", "total", "asked", *made, F.when(~F.coalesce(whole, F.lit(False)), F.col("value").cast("binary")).alias("rest"))
-    rows = verified(rows)
-    done = rows.where("own is not null and closed").select("file", F.col("own").alias("offset"), "head", *[F.col(f"made_{n}").alias(n) for n in derived])
-
-    # Records with the magic in their payload: the pieces from the header's on, in order, make up the payload. Pieces not
-    # closed are few; closed ones inside a payload are read again only for files that have such records.
-    open_ = cut(rows.where("own is not null and not closed").select("file", F.col("own").alias("from"), (F.col("own") + F.col("asked")).alias("to"), "head", "head_bytes", "length"))
-    if not open_.limit(1).count():
-        return done
-    texts = candidates(spark, path).select("file", "split", "place", F.col("value").cast("binary").alias("data"))
-    places = rows.select("file", "split", "place", "offset").join(open_, "file").where("offset >= from and offset < to").select("file", "split", "place", "offset", "from", "to", "head", "head_bytes", "length")
-    pieces = texts.join(cut(places), ["file", "split", "place"])
-    joined = pieces.groupBy("file", "from", "to", "head", "head_bytes", "length").agg(F.array_sort(F.collect_list(F.struct("offset", "data"))).alias("parts"))
-    magic = F.lit(MAGIC).cast("binary")
-    data = F.aggregate("parts", F.lit(b""), lambda acc, p: F.concat(acc, F.when(F.octet_length(acc) > 0, magic).otherwise(F.lit(b"")), p["data"]))
-    joined = joined.withColumn("data", data).withColumn("rest", body("data", "head_bytes", "length")).where("octet_length(rest) = length")
-    return done.unionByName(joined.select("file", F.col("from").alias("offset"), "head", *[fn(F.col("rest")).alias(n) for n, fn in derived.items()]))
+    with same_splits(spark):
+        rows = verified(rows)
+        done = rows.where("own is not null and closed").select("file", F.col("own").alias("offset"), "head", *[F.col(f"made_{n}").alias(n) for n in derived])
+
+        # Records with the magic in their payload: the pieces from the header's on, in order, make up the payload. Pieces not
+        # closed are few; closed ones inside a payload are read again only for files that have such records.
+        open_ = cut(rows.where("own is not null and not closed").select("file", F.col("own").alias("from"), (F.col("own") + F.col("asked")).alias("to"), "head", "head_bytes", "length"))
+        if not open_.limit(1).count():
+            return done
+        texts = candidates(spark, path).select("file", "split", "place", F.col("value").cast("binary").alias("data"))
+        places = rows.select("file", "split", "place", "offset").join(open_, "file").where("offset >= from and offset < to").select("file", "split", "place", "offset", "from", "to", "head", "head_bytes", "length")
+        pieces = texts.join(cut(places), ["file", "split", "place"])
+        joined = pieces.groupBy("file", "from", "to", "head", "head_bytes", "length").agg(F.array_sort(F.collect_list(F.struct("offset", "data"))).alias("parts"))
+        magic = F.lit(MAGIC).cast("binary")
+        data = F.aggregate("parts", F.lit(b""), lambda acc, p: F.concat(acc, F.when(F.octet_length(acc) > 0, magic).otherwise(F.lit(b"")), p["data"]))
+        joined = joined.withColumn("data", data).withColumn("rest", body("data", "head_bytes", "length")).where("octet_length(rest) = length")
+        # Written while the splits are fixed: places found in the first read hold in the second.
+        joined = stage(joined.select("file", F.col("from").alias("offset"), "head", *[fn(F.col("rest")).alias(n) for n, fn in derived.items()]), "joined")
+    return done.unionByName(joined)
 
 
 def described(records: DataFrame) -> DataFrame:
