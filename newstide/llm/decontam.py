@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newstide.llm.common import bounded_batches, column, map_batches, texts_of
+from newstide.session import stage
 
 WORD = re.compile(r"\w+")
 
@@ -65,10 +66,20 @@ class Item:
     shingles: set[tuple[str, ...]] = field(repr=False)
 
 
+@dataclass
+class Counts:
+    """Items with words, words in all, and the number of items that have a word."""
+
+    items: int
+    words: int
+    items_with: dict[str, int]
+
+
 class ItemIndex:
     """Postings of normalised BM25 weights, in blocks of items with the highest weight of each block."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], passage: int, cfg: LeakConfig):
+    def __init__(self, items: list[tuple[int | None, str | None]], passage: int, cfg: LeakConfig, whole: Counts | None = None):
+        """``whole`` has the counts of the whole benchmark; without it the items given are all there are."""
         self.cfg = cfg
         self.passage, self.step = passage, passage // 2
         self.items: list[Item] = []
@@ -77,9 +88,10 @@ class ItemIndex:
             if question or answer:
                 words = question + answer
                 self.items.append(Item(key, words, set(question), set(answer), shingles(words, cfg.shingle)))
-        n = len(self.items)
-        df = Counter(w for item in self.items for w in set(item.words))
-        mean = sum(len(i.words) for i in self.items) / max(n, 1)
+        if whole is None:
+            words = sum(len(i.words) for i in self.items)
+            whole = Counts(len(self.items), words, Counter(w for item in self.items for w in set(item.words)))
+        n, df, mean = whole.items, whole.items_with, whole.words / max(whole.items, 1)
         postings: dict[str, list[tuple[int, float]]] = {}
         for number, item in enumerate(self.items):
             norm = cfg.k1 * (1 - cfg.b + cfg.b * len(item.words) / mean)
@@ -89,7 +101,7 @@ class ItemIndex:
                 postings.setdefault(w, []).append((number, x / total))
         self.term = {w: i for i, w in enumerate(postings)}
         self.lists = [([d for d, _ in p], [x for _, x in p]) for p in postings.values()]
-        self.blocks = -(-max(n, 1) // cfg.block)
+        self.blocks = -(-max(len(self.items), 1) // cfg.block)
         self.block_max = np.zeros((len(self.lists) + 1, self.blocks), np.float32)  # the last row is that of unknown words
         for t, (docs, weights) in enumerate(self.lists):
             np.maximum.at(self.block_max[t], np.array(docs) // cfg.block, np.array(weights, np.float32))
@@ -170,16 +182,30 @@ def shingles_of_width(words: list[str], width: int) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
 
 
+def item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [words_of(t) for t in texts_of(batch)]
+        made = [pa.array([len(w) for w in words], pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays([column(batch, "item_id"), column(batch, "text"), *made], ["item_id", "text", "n_words", "words"])
+
+
 def indexes(benchmark: DataFrame, cfg: LeakConfig) -> Iterator[ItemIndex]:
-    """The benchmark in shards of about ``shard_items`` items; only one shard is on the driver at a time."""
+    """The benchmark in shards of about ``shard_items`` items; only one shard is on the driver at a time, with the counts of
+    its own words. All counts are those of the whole benchmark, so scores do not depend on the shards."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    words = F.size(F.split(F.trim("text"), r"(?U)\W+"))
-    n, longest = items.agg(F.count("*"), F.max(words)).first()
-    passage = 2 * max(32, longest or 0)
+    items = stage(map_batches(items, item_words, "item_id long, text string, n_words long, words array<string>"), "items").where("n_words > 0")
+    n, words, longest = items.agg(F.count("*"), F.sum("n_words"), F.max("n_words")).first()
     shards = -(-n // cfg.shard_items)
-    for shard in range(shards):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard).collect()
-        yield ItemIndex(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")), passage, cfg)
+    if not shards:
+        return
+    shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).alias("shard")
+    held = items.select(shard, F.explode("words").alias("word"))
+    counts = stage(held.distinct().join(held.groupBy("word").agg(F.count("*").alias("n")), "word"), "word-counts")
+    for number in range(shards):
+        rows = items.where(shard == number).select("item_id", "text").collect()
+        rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
+        own = {r["word"]: r["n"] for r in counts.where(F.col("shard") == number).collect()}
+        yield ItemIndex([(r["item_id"], r["text"]) for r in rows], 2 * max(32, longest), cfg, Counts(n, words, own))
 
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, overlap double"

@@ -386,11 +386,15 @@ def test_leaks(spark, docs, none):
     texts = [(1, filler(500) + " " + items[3][1].upper() + " " + filler(90)), (2, items[4][1]), (2, items[4][1]), (3, filler(300)), (4, items[5][1][:60]), (5, None), (None, filler(63) + " " + items[6][1])]
     bench = spark.createDataFrame(items + items[:5], "item_id long, text string")
     own = spark.createDataFrame(texts, "doc_id long, text string").withColumn("item_id", F.lit("x"))
+    scores = []
     for cfg in (decontam.LeakConfig(), decontam.LeakConfig(shard_items=7)):
-        got = [(r.doc_id, r.item_id) for r in decontam.find_leaks(own, bench, cfg).collect()]
+        found = decontam.find_leaks(own, bench, cfg).collect()
+        scores.append(sorted((str(r.doc_id), r.item_id, round(r.score, 9)) for r in found))
+        got = [(r.doc_id, r.item_id) for r in found]
         assert sorted(got, key=str) == sorted([(1, 3), (2, 4), (2, 4), (None, 6)], key=str)
         left = decontam.drop_leaked(own, bench, cfg)
         assert left.columns == own.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 5]
+    assert scores[0] == scores[1]  # counts are those of the whole benchmark
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_leaks(own, empty).count() == 0 and decontam.drop_leaked(own, empty).count() == len(texts)
     assert decontam.find_leaks(none, bench).count() == 0 and decontam.drop_leaked(none, bench).count() == 0
@@ -424,6 +428,7 @@ def test_warc_round_trip(spark):
             assert rows(warc.page_payloads(spark, path)) == sorted(want, key=str)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
     payloads = {bytes(r.payload).decode() for r in warc.read_records(spark, path).collect()}
     assert payloads >= {h for _, _, h in data if h}
     warc.write_pages(spark.createDataFrame([], "page_id long, url string, html string"), path + "-none")
