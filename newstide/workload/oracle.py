@@ -235,6 +235,16 @@ def filters() -> dict[str, str]:
         "sentences": """
             WITH t AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1)) AS p FROM documents)
             SELECT doc_id, len(p)::int AS n, md5(array_to_string(p, '|')) AS parts_md5 FROM t""",
+        "chunk_text": f"""
+            WITH t AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1)) AS p FROM documents),
+            z AS (SELECT doc_id, p, list_transform(p, lambda s: len(regexp_extract_all(s, '[^ \\t\\n\\r\\f\\v]+'))::int) AS sizes FROM t),
+            r AS (SELECT doc_id, p, list_reduce(list_transform(sizes, lambda x: {{'n': x, 'c': 0, 'cs': [0]}}), lambda a, x:
+                         CASE WHEN a.n + x.n > 512 THEN {{'n': x.n, 'c': a.c + 1, 'cs': list_append(a.cs, a.c + 1)}}
+                              ELSE {{'n': a.n + x.n, 'c': a.c, 'cs': list_append(a.cs, a.c)}} END).cs AS cs FROM z),
+            s AS (SELECT doc_id, unnest(p) AS sentence, unnest(cs) AS c, unnest(range(len(p))) AS pos FROM r),
+            k AS (SELECT doc_id, c, string_agg(sentence, ' ' ORDER BY pos) AS own FROM s GROUP BY ALL HAVING own <> '')
+            SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY c) - 1)::int AS chunk_no,
+                   len(regexp_extract_all({strip("own")}, '[^ \\t\\n\\r\\f\\v]+'))::int AS tokens, md5({strip("own")}) AS chunk_md5 FROM k""",
         "length_budget": """
             WITH t AS (SELECT doc_id, len(regexp_extract_all(text, '[^ \\t\\n\\r\\f\\v]+'))::int AS tokens FROM documents),
             b AS (SELECT *, CASE WHEN tokens < 200 THEN greatest(floor(tokens * 0.8::double)::int, 20) ELSE 200 END AS longest FROM t)
@@ -653,6 +663,7 @@ hit AS (SELECT article_id, sum(p) AS p, count(*) AS n FROM tok JOIN pol ON pol.w
         "choose_summary": with_(
             ARTICLES,
             """SELECT article_id, CASE WHEN lang = 'fr' AND title IS NOT NULL THEN 'stored' ELSE 'text or summary' END AS kind,
+                      CASE WHEN lang = 'fr' AND title IS NOT NULL THEN md5(title) WHEN length(text) <= 200 THEN md5(text) END AS summary_md5,
                       CASE WHEN length(text) <= 200 THEN coalesce(CASE WHEN lang = 'fr' THEN title END, text) = text END AS short_kept
                FROM articles""",
         ),

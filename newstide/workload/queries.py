@@ -584,7 +584,8 @@ def choose_summary(spark, sf_dir):
     rows = MD.choose_summary(stored.withColumn("summary", F.col("stored")))
     kind = F.when(F.col("summary") == F.col("stored"), "stored").when(F.length("summary") <= F.length("text"), "text or summary")
     same = F.col("summary") == F.col("text")
-    return rows.select("article_id", kind.alias("kind"), F.when(F.length("text") <= 200, same).alias("short_kept"))
+    taken = F.col("stored").isNotNull() | (F.length("text") <= 200)  # made summaries are compared in ``summarize``
+    return rows.select("article_id", kind.alias("kind"), F.when(taken, F.md5("summary")).alias("summary_md5"), F.when(F.length("text") <= 200, same).alias("short_kept"))
 
 
 @query
