@@ -3,8 +3,9 @@
 Writing is Spark's text writer: a record is its header and payload, and the two line ends that close it are the line
 separator, so that files are committed like any other output and live in any store that Spark writes to.
 
-Reading cuts the files at the record magic with Spark's text reader, which splits large files between tasks. The magic
-may also stand inside a payload, so a place where it stands is only a candidate. Each task gives the candidates of its
+Reading cuts the files at lines that start with the record magic, with Spark's text reader, which splits large files between
+tasks. Within a line of a header, as in a url, the magic does not cut. A line of a payload may start with it as well, so a
+place where one does is only a candidate. Each task gives the candidates of its
 split with the offset of the record that would follow. Candidates whose record ends where the next one starts form runs;
 what is left is one jump per run, from where it is entered to where its last record ends. Pointer jumping over these from
 offset zero of every file keeps the records that can be reached, and drops candidates inside payloads.
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from newstide.session import cut, stage
 
 MAGIC = "WARC/1."
+#: Every record but a file's first follows the line ends that close the one before.
+CUT = "\n" + MAGIC
 CRLF = "\r\n"
 DATE = "2025-01-01T00:00:00Z"
 #: Payloads from this many bytes on are written once and then referred to.
@@ -73,49 +76,58 @@ def _header(name: str) -> Column:
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """Every piece of the files from one magic to the next, with its place, and the length its header asks for.
+    """Every piece of the files from one cut to the next, with its place, and the length its header asks for.
 
-    ``total`` is the piece's length in bytes with the magic before it, ``asked`` that of the record it would be; a piece
-    that cannot be a record has none. ``place`` numbers the pieces of a split in order.
+    ``bytes`` is the piece's length, ``asked`` that of the record it would be; a piece that cannot be a record has none.
+    ``place`` numbers the pieces of a split in order. The first piece of a file has the magic in it: where it can be that one,
+    ``lead`` is the number of bytes before the magic, and ``value`` what follows it; ``data`` is always the whole piece.
     """
-    text = spark.read.option("lineSep", MAGIC).text(path)
+    text = spark.read.option("lineSep", CUT).text(path)
     rows = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"))
-    raw = F.col("value").cast("binary")
-    # Headers of any real record end within the first bytes; the search for their end is a plain one.
-    end = F.locate(CRLF * 2, F.col("value"))
+    rows = rows.withColumn("data", F.col("value").cast("binary")).withColumn("bytes", F.octet_length("data").cast("long"))
+    # Whether a piece is the first is known later, in ``verified``; others of a first split may look like it.
+    at = F.when((F.col("split") == 0) & ~F.col("value").rlike("^[01]\r\n"), F.locate(MAGIC, F.col("value")))
+    rows = rows.withColumn("lead", F.when(at > 0, F.octet_length(F.substring("value", F.lit(1), at - 1))))
+    rows = rows.withColumn("value", F.when(F.col("lead").isNull(), F.col("value")).otherwise(F.expr(f"cast(substring(data, lead + {len(MAGIC) + 1}) as string)")))
+    # Headers of any real record end within the first bytes; the search for their end is a plain one. Its last byte may be the
+    # first of the cut, where a payload starts with the magic.
+    end = F.locate(CRLF * 2, F.concat("value", F.lit("\n")))
     rows = rows.withColumn("head", F.when(F.col("value").rlike("^[01]\r\n") & (end > 0), F.substring("value", F.lit(1), end + 1)))
     rows = rows.withColumn("head_bytes", F.octet_length("head") + 2)
     rows = rows.withColumn("length", F.expr("try_cast(regexp_extract(head, '(?im)^content-length:[ \\t]*([0-9]+)[ \\t]*\\r?$', 1) AS BIGINT)"))
-    rows = rows.withColumn("total", (F.octet_length(raw) + len(MAGIC)).cast("long"))
     return rows.withColumn("asked", len(MAGIC) + F.col("head_bytes") + F.col("length") + 4)
 
 
 def verified(pieces: DataFrame) -> DataFrame:
-    """``pieces`` (file, split, place, total, asked, ...) with ``offset`` and ``record``, the offset of the reachable record
-    that a piece belongs to: its own for the piece with the header, that of the enclosing record for pieces of payloads."""
+    """``pieces`` (file, split, place, bytes, lead, asked, ...) with ``offset``, the place of a piece's magic, and ``own``, the
+    same for pieces that are reachable records; ``total`` is the distance to the next magic."""
     in_split = Window.partitionBy("file", "split").orderBy("place")
-    # The first piece of a file is what stands before its first magic; no magic precedes it.
+    # The first piece of a file follows no cut; it holds the magic itself, or is what stands before the first cut.
     first = (F.col("split") == 0) & (F.row_number().over(in_split) == 1)
     rows = pieces.withColumn("first", first)
-    rows = rows.withColumn("total", F.col("total") - F.when(F.col("first"), len(MAGIC)).otherwise(0)).withColumn("asked", F.when(~F.col("first"), F.col("asked")))
-    rows = rows.withColumn("local", F.sum("total").over(in_split) - F.col("total"))
-    # A run goes on while records end where the next piece starts.
-    closed = F.coalesce(F.col("asked") == F.col("total"), F.lit(False))
-    rows = rows.withColumn("closed", closed)
-    starts_run = ~F.coalesce(F.lag("closed").over(in_split), F.lit(False))
+    rows = rows.withColumn("asked", F.when(F.col("first") == F.col("lead").isNotNull(), F.col("asked")))
+    rows = rows.withColumn("headless", F.col("first") & F.col("lead").isNull())
+    rows = rows.withColumn("lead", F.when(F.col("first"), F.coalesce("lead", F.lit(0))).otherwise(1).cast("long"))
+    rows = rows.withColumn("bytes", F.col("bytes") + F.when(F.col("first"), 0).otherwise(len(CUT)))
+    rows = rows.withColumn("total", F.col("bytes") + 1 - F.col("lead"))
+    rows = rows.withColumn("local", F.sum("bytes").over(in_split) - F.col("bytes"))
+    # A run goes on while records end where the next piece's magic is; the last of a file ends a byte before, with the file.
+    follows = F.coalesce(F.col("asked") == F.col("total"), F.lit(False))
+    rows = rows.withColumn("follows", follows).withColumn("closed", follows | F.coalesce(F.col("asked") == F.col("total") - 1, F.lit(False)))
+    starts_run = ~F.coalesce(F.lag("follows").over(in_split), F.lit(False))
     rows = rows.withColumn("run", F.sum(starts_run.cast("int")).over(in_split))
     rows = stage(rows, "pieces")
 
     # Splits are few; their sizes give every piece its offset in the file.
-    sizes = rows.groupBy("file", "split").agg(F.sum("total").alias("size"))
+    sizes = rows.groupBy("file", "split").agg(F.sum("bytes").alias("size"))
     sizes = sizes.select("file", "split", (F.sum("size").over(Window.partitionBy("file").orderBy("split")) - F.col("size")).alias("base"))
-    rows = rows.join(sizes, ["file", "split"]).withColumn("offset", F.col("base") + F.col("local"))
+    rows = rows.join(sizes, ["file", "split"]).withColumn("offset", F.col("base") + F.col("local") + F.col("lead"))
     runs = rows.groupBy("file", "split", "run").agg(F.min("offset").alias("from"), F.max_by(F.col("offset") + F.col("asked"), "offset").alias("to"), F.max("offset").alias("last"))
     runs = cut(runs.select("file", "split", "run", "from", "last", "to"))
 
     # Nodes are the places where a run can be entered: file starts, and where the last record of some run ends.
     entered = runs.where("to is not null").select("file", F.col("to").alias("at"))
-    heads = rows.where("first").select("file", (F.col("offset") + F.col("total")).alias("at"), F.lit(True).alias("head"))
+    heads = rows.where("first").select("file", (F.col("offset") + F.when(F.col("headless"), F.col("total")).otherwise(0)).alias("at"), F.lit(True).alias("head"))
     nodes = heads.unionByName(entered.withColumn("head", F.lit(False))).groupBy("file", "at").agg(F.max("head").alias("head"))
     entries = rows.where("asked is not null").select("file", "offset", "split", "run")
     nodes = nodes.join(entries, (nodes["file"] == entries["file"]) & (nodes["at"] == entries["offset"])).select(nodes["file"], "at", "head", "split", "run")
@@ -160,24 +172,24 @@ def read_records(spark: SparkSession, path: str, **derived) -> DataFrame:
     derived = derived or {"payload": lambda c: c}
     rows = candidates(spark, path)
     body = lambda data, head, length: F.expr(f"substring({data}, {head} + 1, int({length}))")
-    whole = F.col("asked") == F.col("total")
+    whole = (F.col("asked") - len(MAGIC) - F.octet_length("value")).isin(0, 1)
     made = [F.when(whole, fn(body("cast(value as binary)", "head_bytes", "length"))).alias(f"made_{n}") for n, fn in derived.items()]
     # Payloads that lie whole in a piece are dealt with where they are read; only the others travel.
-    rows = rows.select("file", "split", "place", "head", "head_bytes", "length", "total", "asked", *made, F.when(~F.coalesce(whole, F.lit(False)), F.col("value").cast("binary")).alias("rest"))
+    rows = rows.select("file", "split", "place", "head", "head_bytes", "length", "bytes", "lead", "asked", *made)
     with same_splits(spark):
         rows = verified(rows)
         done = rows.where("own is not null and closed").select("file", F.col("own").alias("offset"), "head", *[F.col(f"made_{n}").alias(n) for n in derived])
 
-        # Records with the magic in their payload: the pieces from the header's on, in order, make up the payload. Pieces not
+        # Records with a cut in their payload: the pieces from the header's on, in order, make up the payload. Pieces not
         # closed are few; closed ones inside a payload are read again only for files that have such records.
         open_ = cut(rows.where("own is not null and not closed").select("file", F.col("own").alias("from"), (F.col("own") + F.col("asked")).alias("to"), "head", "head_bytes", "length"))
         if not open_.limit(1).count():
             return done
-        texts = candidates(spark, path).select("file", "split", "place", F.col("value").cast("binary").alias("data"))
-        places = rows.select("file", "split", "place", "offset").join(open_, "file").where("offset >= from and offset < to").select("file", "split", "place", "offset", "from", "to", "head", "head_bytes", "length")
-        pieces = texts.join(cut(places), ["file", "split", "place"])
+        texts = candidates(spark, path).select("file", "split", "place", "data", F.col("value").cast("binary").alias("value"))
+        places = rows.select("file", "split", "place", "first", "offset").join(open_, "file").where("offset >= from and offset < to").select("file", "split", "place", "first", "offset", "from", "to", "head", "head_bytes", "length")
+        pieces = texts.join(cut(places), ["file", "split", "place"]).withColumn("data", F.when(F.col("first"), F.col("value")).otherwise(F.col("data")))
         joined = pieces.groupBy("file", "from", "to", "head", "head_bytes", "length").agg(F.array_sort(F.collect_list(F.struct("offset", "data"))).alias("parts"))
-        magic = F.lit(MAGIC).cast("binary")
+        magic = F.lit(CUT).cast("binary")
         data = F.aggregate("parts", F.lit(b""), lambda acc, p: F.concat(acc, F.when(F.octet_length(acc) > 0, magic).otherwise(F.lit(b"")), p["data"]))
         joined = joined.withColumn("data", data).withColumn("rest", body("data", "head_bytes", "length")).where("octet_length(rest) = length")
         # Written while the splits are fixed: places found in the first read hold in the second.

@@ -443,6 +443,31 @@ def test_warc_chain_ends_at_a_cut_record(spark):
     assert sorted(bytes(r.payload) for r in warc.read_records(spark, path).collect()) == [b"one", b"two"]
 
 
+def test_warc_magic_in_urls_and_at_odd_places(spark):
+    spec = "https://iipc.github.io/warc-specifications/WARC/1.1/"
+    urls = ["http://a/", spec, spec + "WARC/1.0", "WARC/1.1", "http://b/WARC/1.\r\nWARC/1.1", None, "http://c/"]
+    bodies = ["x" * 30, "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.1\r\n", "\nWARC/1.", "\nWARC/1.WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n\nWARC/1.", "é\r\n", "\r\n\r\n", "", "S" * 300]
+    data = [(i, urls[i % 7], bodies[i % 8]) for i in range(112)]
+    path = scratch_path(spark, "urls")
+    warc.write_pages(spark.createDataFrame(data, "page_id long, url string, html string").coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("611", "100m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.page_payloads(spark, path).collect()}
+            assert got == {i: (len(b.encode()), hashlib.sha256(b.encode()).hexdigest()) for i, _, b in data}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    heads = {int(re.search(r"urn:page:(\d+)", r["head"])[1]): re.search(r"(?m)^WARC-Target-URI: ([^\r\n]*)", r["head"])[1] for r in warc.read_records(spark, path).collect()}
+    assert heads == {i: re.sub("[\r\n]+", " ", u or "") for i, u, _ in data}
+    # What stands before the first record of a file is passed over, with and without a line end.
+    record = "WARC/1.1\r\nContent-Length: 3\r\n\r\none\r\n\r\n"
+    for before_it in ("", "junk", "junk\n", "é\r\n"):
+        path = scratch_path(spark, "lead")
+        spark.createDataFrame([(before_it + record * 2,)], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+        assert [(r.offset, bytes(r.payload)) for r in warc.read_records(spark, path).orderBy("offset").collect()] == [(n, b"one") for n in (len(before_it.encode()), len(before_it.encode()) + len(record))]
+
+
 # --- registered queries ----------------------------------------------------------------
 
 
