@@ -600,3 +600,16 @@ def test_dedup_stage_against_similarity(spark):
     want = {i for i, (place, root) in zip(source.doc_id, enumerate(plain_similar(list(source.text))), strict=True) if place == root}
     kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(source, docs.schema), sf)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
+
+
+def test_quality_stage_leaves_columns_alone(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    plain = spark.read.parquet(f"{sf}/documents.parquet")
+    names = [*textstats.BASE, "base_failed", "anomaly", "kept", "verdict__"]
+    kept = corpus_pipeline.quality_rules(spark, plain.withColumns({c: F.lit("mine") for c in names}), sf)
+    assert kept.columns == [*plain.columns, *names]
+    assert {tuple(r[c] for c in names) for r in kept.collect()} == {("mine",) * len(names)}
+    model = isoforest.fit(plain, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert rows(kept.select(*plain.columns)) == rows(isoforest.judge(plain, model).where("kept").select(*plain.columns))
