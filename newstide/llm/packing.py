@@ -13,6 +13,7 @@ need no padding. So no sequence of the output is padded at all, and a shard has
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,12 +29,49 @@ SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 Piece = tuple[int, int, int, int, int]  # document (index in the shard), start, length, sequence, offset
 
 
-def assign(lengths: list[int], seq_len: int = 4096, linear: float = 1.0, quadratic: float = 1 / 24576, probe: int = 8) -> list[Piece]:
+class OpenSequences:
+    """Open sequences (cost, sequence, used, size) by their room, under a tree of the cheapest of each range of rooms."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.heaps: list[list[tuple]] = [[] for _ in range(most)]
+        self.least: list[tuple] = [(math.inf,)] * (2 * most)
+
+    def _mend(self, room: int) -> None:
+        heap, i = self.heaps[room - 1], self.most + room - 1
+        self.least[i] = heap[0] if heap else (math.inf,)
+        while i > 1:
+            i >>= 1
+            self.least[i] = min(self.least[2 * i], self.least[2 * i + 1])
+
+    def add(self, cost: float, seq: int, used: int, size: int) -> None:
+        heapq.heappush(self.heaps[size - used - 1], (cost, seq, used, size))
+        self._mend(size - used)
+
+    def take(self, length: int) -> tuple[float, int, int, int]:
+        """Remove the cheapest with room for ``length``, or the cheapest of all where none has it."""
+        found, low, high = (math.inf,), self.most + length - 1, 2 * self.most
+        while low < high:
+            if low & 1:
+                found = min(found, self.least[low])
+                low += 1
+            if high & 1:
+                high -= 1
+                found = min(found, self.least[high])
+            low, high = low >> 1, high >> 1
+        found = found if len(found) > 1 else self.least[1]
+        room = found[3] - found[2]
+        heapq.heappop(self.heaps[room - 1])
+        self._mend(room)
+        return found
+
+
+def assign(lengths: list[int], seq_len: int = 4096, linear: float = 1.0, quadratic: float = 1 / 24576) -> list[Piece]:
     """Pieces of documents of the given lengths, and the sequence and offset of each.
 
     Every multiple of ``seq_len`` within a document fills a sequence of its own. What remains goes, longest first, to the
-    lowest-cost sequence that can hold it whole among the ``probe`` cheapest with room; where none can, it is cut to fill
-    the cheapest, and its rest waits its turn by length. Ties go to the lower sequence and the earlier document.
+    lowest-cost of all sequences that can hold it whole; where none can, it is cut to fill the cheapest, and its rest waits
+    its turn by length. Ties go to the lower sequence and the earlier document.
     """
     out: list[Piece] = []
     waiting: list[tuple[int, int, int]] = []  # (-length, document, start)
@@ -46,26 +84,19 @@ def assign(lengths: list[int], seq_len: int = 4096, linear: float = 1.0, quadrat
             waiting.append((-(length % seq_len), doc, length - length % seq_len))
     full, rest = divmod(-sum(w[0] for w in waiting), seq_len)
     sizes = [seq_len] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
-    # A shorter sequence counts as one whose missing tokens have been spent already.
-    open_: list[tuple[float, int, int, int]] = [(linear * (seq_len - size), n_seq + i, 0, size) for i, size in enumerate(sizes)]  # cost, sequence, used, size
-    heapq.heapify(open_)
+    open_ = OpenSequences(seq_len)
+    for i, size in enumerate(sizes):
+        # A shorter sequence counts as one whose missing tokens have been spent already.
+        open_.add(linear * (seq_len - size), n_seq + i, 0, size)
     heapq.heapify(waiting)
     while waiting:
         minus, doc, start = heapq.heappop(waiting)
         length = -minus
-        tried = []
-        while open_ and len(tried) < probe:
-            tried.append(heapq.heappop(open_))
-            if tried[-1][3] - tried[-1][2] >= length:
-                break
-        at = len(tried) - 1 if tried[-1][3] - tried[-1][2] >= length else 0
-        cost, seq, used, size = tried.pop(at)
+        cost, seq, used, size = open_.take(length)
         put = min(length, size - used)
         out.append((doc, start, put, seq, used))
         if put < size - used:
-            tried.append((cost + linear * put + quadratic * put * put, seq, used + put, size))
-        for x in tried:
-            heapq.heappush(open_, x)
+            open_.add(cost + linear * put + quadratic * put * put, seq, used + put, size)
         if put < length:
             heapq.heappush(waiting, (put - length, doc, start + put))
     return out

@@ -613,3 +613,24 @@ def test_quality_stage_leaves_columns_alone(spark):
     assert {tuple(r[c] for c in names) for r in kept.collect()} == {("mine",) * len(names)}
     model = isoforest.fit(plain, spark.read.parquet(f"{sf}/labels.parquet"))
     assert rows(kept.select(*plain.columns)) == rows(isoforest.judge(plain, model).where("kept").select(*plain.columns))
+
+
+def test_cheapest_of_all_sequences_with_room():
+    rng = random.Random(23)
+    for _ in range(200):
+        seq_len = rng.choice([64, 100])
+        lengths = [rng.choice([rng.randint(1, 12), rng.randint(30, 60)]) for _ in range(rng.randint(1, 120))]
+        waiting = sorted((-n, i, 0) for i, n in enumerate(lengths))
+        full, rest = divmod(sum(lengths), seq_len)
+        sizes = [seq_len] * full + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+        open_ = [(float(seq_len - n), i, 0, n) for i, n in enumerate(sizes)]
+        want = []
+        while waiting:
+            minus, doc, start = waiting.pop(0)
+            cost, seq, used, size = chosen = min([x for x in open_ if x[3] - x[2] >= -minus] or [x for x in open_ if x[3] > x[2]])
+            put = min(-minus, size - used)
+            want.append((doc, start, put, seq, used))
+            open_[open_.index(chosen)] = (cost + put + put * put / 24576, seq, used + put, size)
+            if put < -minus:
+                waiting = sorted([*waiting, (minus + put, doc, start + put)])
+        assert packing.assign(lengths, seq_len) == want
