@@ -4,7 +4,8 @@ The index holds the benchmark, which is small beside the corpus; it is built in
 every passage of every document is looked up in each shard. Weights are normalised so that an item scores 1 against
 itself, and the passage against an item the share of it that the passage covers. Passages overlap by half and are twice as
 long as the longest item, so an item copied into a text lies whole in one of them. What scores above the threshold is
-verified by word shingles.
+verified by the overlap with the item's question and with its answer; a low share of word shingles must be found as well, so
+that the same words in another order are no copy.
 """
 
 from __future__ import annotations
@@ -28,10 +29,14 @@ WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class LeakConfig:
-    """``least_score`` selects candidates, ``least_overlap`` verifies; ``shard_items`` bounds what is sent to tasks at once."""
+    """``least_score`` selects candidates, ``least_overlap`` of the words of question and answer verifies them, ``least_shingles``
+    guards the order of words; ``answer_words`` is the least number of distinct words of an answer, and ``shard_items`` bounds
+    what is sent to tasks at once."""
 
     least_score: float = 0.6
     least_overlap: float = 0.8
+    least_shingles: float = 0.2
+    answer_words: int = 8
     shingle: int = 5
     block: int = 4
     shard_items: int = 1024
@@ -43,12 +48,19 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def question_and_answer(text: str | None) -> tuple[list[str], list[str]]:
-    """Words of an item's question and answer: the answer is its last sentence; of a single one, the second half."""
+def question_and_answer(text: str | None, least: int = 8) -> tuple[list[str], list[str]]:
+    """Words of an item's question and answer: the answer is its last sentence, or as many of the last ones as have ``least``
+    distinct words, but for the first; of a single one, the second half."""
     parts = [w for s in re.split(r"[.!?\n]+", text or "") if (w := words_of(s))]
     if len(parts) == 1:
         half = len(parts[0]) // 2
         return parts[0][:half], parts[0][half:]
+    while len(parts) > 2 and len(set(parts[-1])) < least:
+        parts[-2:] = [parts[-2] + parts[-1]]
+    if len(parts) == 2 and len(set(parts[1])) < least:  # the end of the only other sentence belongs to it
+        words = parts[0] + parts[1]
+        at = min(len(parts[0]), max(len(words) // 2, len(words) - least))
+        return words[:at], words[at:]
     return [w for p in parts[:-1] for w in p], parts[-1] if parts else []
 
 
@@ -84,7 +96,7 @@ class ItemIndex:
         self.passage, self.step = passage, passage // 2
         self.items: list[Item] = []
         for key, text in items:
-            question, answer = question_and_answer(text)
+            question, answer = question_and_answer(text, cfg.answer_words)
             if question or answer:
                 words = question + answer
                 self.items.append(Item(key, words, set(question), set(answer), shingles(words, cfg.shingle)))
@@ -173,7 +185,7 @@ class ItemIndex:
                 overlap = len(item.shingles & grams) / len(item.shingles)
                 question = len(item.question & cut[0]) / len(item.question) if item.question else 1.0
                 answer = len(item.answer & cut[0]) / len(item.answer) if item.answer else 1.0
-                if min(overlap, question, answer) >= self.cfg.least_overlap and (number not in best or overlap > best[number][3]):
+                if min(question, answer) >= self.cfg.least_overlap and overlap >= self.cfg.least_shingles and (number not in best or overlap > best[number][3]):
                     best[number] = (score, question, answer, overlap)
         return [(self.items[n].key, *x) for n, x in sorted(best.items())]
 
@@ -215,7 +227,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cfg: LeakConfig = LeakConf
     """(doc_id, item_id, score, question_overlap, answer_overlap, overlap): the items that a document contains.
 
     A leak covers the item's words to ``least_score`` by BM25 weight and, in one passage, at least ``least_overlap`` of its
-    five-word shingles, of its question's words and of its answer's. Null or empty texts and items give none; repeated
+    question's distinct words and of its answer's, and ``least_shingles`` of its five-word shingles. Null or empty texts and items give none; repeated
     documents each have rows of their own, repeated items one. Empty tables give an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text <> ''")

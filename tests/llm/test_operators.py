@@ -634,3 +634,18 @@ def test_cheapest_of_all_sequences_with_room():
             if put < -minus:
                 waiting = sorted([*waiting, (minus + put, doc, start + put)])
         assert packing.assign(lengths, seq_len) == want
+
+
+def test_edited_items_are_leaks():
+    rng = random.Random(24)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    # Answers of two words, of one sentence, and long ones.
+    items = [(i, ". ".join(" ".join(word() for _ in range(n)) for n in [(30, 2), (24,), (20, 12), (12, 9, 3)][i % 4])) for i in range(40)]
+    index = decontam.ItemIndex(items, 128, decontam.LeakConfig())
+    filler = lambda: [word() for _ in range(70)]
+    for key, text in items:
+        words = decontam.words_of(text)
+        for part in (words, words[:-1], edited(rng, words, 1)):
+            assert [h[0] for h in index.search(" ".join([*filler(), *part, *filler()]))] == [key]
+        shuffled = rng.sample(words, len(words))  # the same words in another order are no copy
+        assert not index.search(" ".join(shuffled)) and not index.search(" ".join(words[: len(words) // 2]))
