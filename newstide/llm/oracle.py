@@ -60,5 +60,26 @@ def _url_sql() -> str:
     SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict} ELSE {urlfilter.verdict_sql()} END AS verdict FROM p"""
 
 
+def _search_sql() -> str:
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    terms = f"unnest(regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term"
+    return f"""
+    WITH o AS (SELECT doc_id, {terms} FROM documents),
+    tf AS (SELECT doc_id, term, count(*) AS tf FROM o GROUP BY ALL),
+    n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+    t AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+    m AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM n, t),
+    i AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {terms} FROM benchmark)),
+    w AS (
+      SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), t),
+    s AS (
+      SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM i JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    WHERE rank <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_trigram_secrets": _secrets_sql(), "op8_url_rules": _url_sql()}
+    return {"op11_treap_search": _search_sql(), "op6_trigram_secrets": _secrets_sql(), "op8_url_rules": _url_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, unigram, urlfilter, warc
+from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, treap, unigram, urlfilter, warc
 from newstide.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,10 @@ def op1_warc_chain(spark, sf_dir):
 def op4_unigram_counts(spark, sf_dir):
     """Tokens of every document under the unigram vocabulary, and the score of the best segmentation."""
     return unigram.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("piece_bpe_32k.model")).drop("text")
+
+
+@query
+def op11_treap_search(spark, sf_dir):
+    """The 50 best documents for every benchmark item."""
+    index = treap.build_index(table(spark, sf_dir, "documents"))
+    return treap.search(index, table(spark, sf_dir, "benchmark"))
