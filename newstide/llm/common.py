@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one Arrow batch handed to a Python task.
@@ -51,3 +52,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, u
     # At most about `rows` pairs of numbers: a broadcast of proven size, which also cuts the scan before any text work.
     found = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").where(F.col("text").isNotNull())
     return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+
+
+def usable_vector(vec: Column) -> Column:
+    """True for a vector of at least one entry, all of them present and finite."""
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce((F.size(vec) > 0) & finite, F.lit(False))
+
+
+def matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """Rows of a column of vectors without nulls, all of one length."""
+    col = column(batch, name)
+    return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)

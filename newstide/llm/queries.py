@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, treap, unigram, urlfilter, warc
+from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, spectrum, treap, unigram, urlfilter, warc
 from newstide.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,10 @@ def op11_treap_search(spark, sf_dir):
     """The 50 best documents for every benchmark item."""
     index = treap.build_index(table(spark, sf_dir, "documents"))
     return treap.search(index, table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_spectrum_whitening(spark, sf_dir):
+    """All usable vectors along the 16 leading components of their covariance, whitened."""
+    rows = table(spark, sf_dir, "embeddings")
+    return spectrum.whiten(rows, spectrum.fit(rows))

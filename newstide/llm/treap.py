@@ -18,7 +18,7 @@ import heapq
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import count as serial
@@ -41,16 +41,11 @@ BLOCK_TERMS = 200_000
 
 INDEX_SCHEMA = "n_docs long, n_terms long, height int, doc_ids binary, lengths binary, terms binary, df binary, bits binary, maxima binary, tf binary"
 _find_terms = re.compile(TERM).findall
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def term_counts(text: str) -> Counter:
     """Occurrences of every term of the whole text; A to Z become lower case and nothing else changes."""
-    found = Counter(_find_terms(text))
-    out: Counter = Counter()
-    for word, n in found.items():
-        out[word.lower() if word.isascii() else word.translate(_LOWER)] += n
-    return out
+    return Counter(_find_terms(text.encode().lower().decode()))  # bytes: A to Z only
 
 
 def lengths_to_m(n: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
@@ -78,11 +73,12 @@ def _spaced(v: np.ndarray) -> np.ndarray:
 def build_shard(ids: list[int | None], counts: list[Counter], n_docs: int, n_terms: int) -> dict:
     """One row of the index, from the term counts of its documents."""
     by_id = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0))
-    number: dict[str, int] = {}
+    number: defaultdict[str, int] = defaultdict()
+    number.default_factory = number.__len__  # new terms get the next number
     place, tf, sizes, lengths = [], [], [], []
     for i in by_id:
         own = counts[i]
-        place += [number.setdefault(t, len(number)) for t in own]
+        place += map(number.__getitem__, own)
         tf += own.values()
         sizes.append(len(own))
         lengths.append(sum(own.values()))
