@@ -81,5 +81,21 @@ def _search_sql() -> str:
     WHERE rank <= 50"""
 
 
+#: Every pair of a label is compared; reachable rows by recursion. The given tables are small enough for both.
+_LINKS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, e -> e IS NOT NULL AND isfinite(e))) = len(embedding)
+    AND len(list_filter(embedding, e -> e <> 0)) > 0),
+link AS (
+  SELECT p.vec_id AS u, q.vec_id AS w FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  WHERE list_cosine_similarity(p.x, q.x) >= 0.93),
+reach AS (SELECT vec_id AS u, vec_id AS w FROM embeddings UNION SELECT reach.u, link.w FROM reach JOIN link ON reach.w = link.u),
+c AS (SELECT u, min(w) AS component_id FROM reach GROUP BY u),
+n AS (SELECT u, count(*) AS n_links FROM link GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.u = vec_id LEFT JOIN n ON n.u = vec_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_treap_search": _search_sql(), "op6_trigram_secrets": _secrets_sql(), "op8_url_rules": _url_sql()}
+    return {"op13_projection_passes": _LINKS_SQL, "op11_treap_search": _search_sql(), "op6_trigram_secrets": _secrets_sql(), "op8_url_rules": _url_sql()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, spectrum, treap, unigram, urlfilter, warc
+from newstide.llm import decontam, isoforest, packing, pairrank, passes, rans, secret_scan, simhash, spectrum, treap, unigram, urlfilter, warc
 from newstide.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,9 @@ def op12_spectrum_whitening(spark, sf_dir):
     """All usable vectors along the 16 leading components of their covariance, whitened."""
     rows = table(spark, sf_dir, "embeddings")
     return spectrum.whiten(rows, spectrum.fit(rows))
+
+
+@query
+def op13_projection_passes(spark, sf_dir):
+    """Near-duplicate vectors of each label: links, component and whether the row is its first."""
+    return passes.near_duplicates(table(spark, sf_dir, "embeddings"))
