@@ -16,7 +16,7 @@ from functools import lru_cache
 import regex
 
 #: Entries kept per worker, twice; beyond it the older half goes. It bounds memory and has no effect on results.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 450_000
 
 #: White space that the cuts below do not treat as such.
 _RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -​    　﻿]")
@@ -39,7 +39,7 @@ class _Pieces(dict):
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.before.get(piece)
+        ids = self.before.get(piece) if self.before else None
         if ids is None:
             ids = self.encode(piece)
         if len(piece) < 200:
@@ -97,9 +97,11 @@ class Encoder:
             # The common shapes, without the pattern: letters, or letters and one of the marks that letters cannot join.
             own = unit if self._normalize else unit[1:]
             if own.isalpha():
-                return self._words_seen[unit]
+                return self._word(unit)  # kept as a unit, so not once more as a word
             if own[-1:] in _MARKS and own[:-1].isalpha():
-                return self._words_seen[unit[:-1]] + self._words_seen[unit[-1]]
+                # The word without its mark is a unit as well, and most likely met already.
+                first = self._units_seen[unit[:-1]] if self._normalize else self._spaced_seen[own[:-1]]
+                return first + self._words_seen[own[-1]]
         words = self._words(unit)
         return self._words_seen[words[0]] if len(words) == 1 else b"".join(map(self._words_seen.__getitem__, words))
 
