@@ -64,3 +64,11 @@ def matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
     """Rows of a column of vectors without nulls, all of one length."""
     col = column(batch, name)
     return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it for as long as ``df`` has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -15,6 +15,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newstide.llm.common import free_name
 from newstide.session import stage
 
 
@@ -190,19 +191,20 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + EXTRA, out: s
     docs = docs.drop(out)
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {kind: clauses for kind, clauses in queries.items() if clauses}
-    rows = docs.withColumn("text_key__", F.xxhash64("text"))
+    key, kinds = free_name(docs, "text_key"), free_name(docs, "kinds")
+    rows = docs.withColumn(key, F.xxhash64("text"))
     if indexed:
         # Staged, so that the planner sees its size, and can split hot texts of the other side.
-        found = stage(candidates(docs.select("text"), indexed).withColumnsRenamed({"text_key": "text_key__", "kinds": "kinds__"}), "candidates")
-        rows = rows.join(found.hint("shuffle_hash"), "text_key__", "left")
+        found = stage(candidates(docs.select("text"), indexed).select(F.col("text_key").alias(key), F.col("kinds").alias(kinds)), "candidates")
+        rows = rows.join(found.hint("shuffle_hash"), key, "left")
     else:
-        rows = rows.withColumn("kinds__", F.lit(None).cast("array<string>"))
+        rows = rows.withColumn(kinds, F.lit(None).cast("array<string>"))
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     parts = []
     for order, rule in enumerate(rules):
         spans = _spans(F.col("text"), rule, order)
         if rule.kind in indexed:
-            spans = F.when(F.array_contains("kinds__", rule.kind), spans)
+            spans = F.when(F.array_contains(kinds, rule.kind), spans)
         parts.append(F.coalesce(spans, none))
     return rows.withColumn(out, F.array_sort(F.concat(*parts))).select(*docs.columns, out)
 
@@ -214,7 +216,8 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = BASE + EXTRA) -> DataFrame:
     """``docs`` with every secret replaced by ``mask``, overlapping ones by one mask; other texts stay as they are."""
-    text, spans = F.col("text"), F.col("secrets__")
+    secrets = free_name(docs, "secrets")
+    text, spans = F.col("text"), F.col(secrets)
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
@@ -224,5 +227,5 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = BA
         )
 
     done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))))
-    rows = find_secrets(docs, rules, "secrets__")
+    rows = find_secrets(docs, rules, secrets)
     return rows.withColumn("text", F.when(F.size(spans) > 0, done).otherwise(text)).select(*docs.columns)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newstide.llm.common import column, map_batches, texts_of
+from newstide.llm.common import column, free_name, map_batches, texts_of
 from newstide.session import cut, stage
 
 SEED = 42
@@ -173,12 +173,12 @@ def forest(bits: np.ndarray, turn: np.ndarray, side: np.ndarray, most: int = 3)
     return parent
 
 
-def _edges(table: pa.Table) -> pa.Table:
+def _edges(table: pa.Table, most: int) -> pa.Table:
     get = lambda c: table.column(c).to_numpy()
     bits, turn, side, rank, fp = get("bits").view(np.uint64), get("turn"), get("side"), get("rank").view(np.uint64), get("fp")
     order = np.lexsort((rank, turn, side))
     bits, turn, side, fp = bits[order], turn[order], side[order], fp[order]
-    parent = forest(bits, turn, side)
+    parent = forest(bits, turn, side, most)
     # The lowest fingerprint of a component is its root in every task, so that forests of different tasks meet soon.
     ids = np.argsort(parent, kind="stable")
     cutoff = np.flatnonzero(np.concatenate([[True], parent[ids][1:] != parent[ids][:-1]]))
@@ -189,8 +189,10 @@ def _edges(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
 
 
-def link_edges(unique: DataFrame) -> DataFrame:
-    """(a, b) with a > b: edges whose components are those of all fingerprints at 3 or fewer differing bits."""
+def link_edges(unique: DataFrame, most: int) -> DataFrame:
+    """(a, b) with a > b: edges whose components are those of all fingerprints at ``most`` or fewer differing bits."""
+    if most > 3:
+        raise ValueError("four blocks find pairs within 3 bits only")
     spark = unique.sparkSession
     n = unique.count()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-4 * n // TASK_ROWS))
@@ -206,14 +208,14 @@ def link_edges(unique: DataFrame) -> DataFrame:
     left, right = leaves.alias("l"), leaves.alias("r")
     shared = F.bitwise_not(F.col("l.low").bitwiseXOR(F.col("l.high"))).bitwiseAND(F.bitwise_not(F.col("r.low").bitwiseXOR(F.col("r.high"))))
     pairs = left.join(right, (F.col("l.turn") == F.col("r.turn")) & (F.col("l.front") == F.col("r.front")) & (F.col("l.part") < F.col("r.part")))
-    pairs = pairs.where(F.bit_count(F.col("l.low").bitwiseXOR(F.col("r.low")).bitwiseAND(shared)) <= 3)
+    pairs = pairs.where(F.bit_count(F.col("l.low").bitwiseXOR(F.col("r.low")).bitwiseAND(shared)) <= most)
     pairs = cut(pairs.select(F.col("l.turn").alias("turn"), F.col("l.front").alias("front"), F.col("l.part").alias("p"), F.col("r.part").alias("q")))
     sides = pairs.select("turn", "front", "p", "q", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("p").alias("part")), F.struct(F.lit(1).alias("side"), F.col("q").alias("part")))).alias("s"))
     sides = sides.select("turn", "front", "p", "q", "s.side", "s.part")
 
     rows = filed.select("fp", "turn", "bits", "rank", F.lit(0).alias("side"), F.lit(-1).alias("t"), F.lit(-1).cast("long").alias("f"), F.col("part").alias("p"), F.col("part").alias("q"))
     across = filed.join(sides, ["turn", "front", "part"]).select("fp", "turn", "bits", "rank", "side", F.col("turn").alias("t"), F.col("front").alias("f"), "p", "q")
-    return rows.unionByName(across).groupBy("t", "f", "p", "q").applyInArrow(_edges, "a long, b long")
+    return rows.unionByName(across).groupBy("t", "f", "p", "q").applyInArrow(lambda table: _edges(table, most), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -237,37 +239,39 @@ def components(edges: DataFrame) -> DataFrame:
         e = cut(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
 
 
-def named_components(unique: DataFrame) -> DataFrame:
+def named_components(unique: DataFrame, most: int) -> DataFrame:
     """(fp, component_id) of distinct fingerprints ``fp`` with ``first_id``: the smallest one in the component."""
-    tied = cut(components(link_edges(unique)))
+    tied = cut(components(link_edges(unique, most)))
     tied = tied.unionByName(tied.select(F.col("root").alias("node"), "root").distinct())
     ids = cut(tied.join(unique, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("first_id").alias("component_id")))
     named = tied.join(ids, "root").select(F.col("node").alias("fp"), "component_id")
     return stage(unique.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "components")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, keep: dict[str, str] | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 3, keep: dict[str, str] | None = None, most: int = 3) -> DataFrame:
     """Columns ``keep`` (default ``doc_id``), ``fp`` and ``component_id`` for every row of ``docs``.
 
-    Rows are linked when their fingerprints differ in 3 bits or fewer; ``component_id`` is the smallest ``doc_id``
+    Rows are linked when their fingerprints differ in ``most`` bits or fewer, 3 at most; ``component_id`` is the smallest ``doc_id``
     that can be reached. Null and empty texts have fingerprint zero and link like any other. Repeated rows stay.
     A component in which every ``doc_id`` is null has a null id. An empty table gives an empty result.
     """
     keep = keep or {"doc_id": "long"}
     marked = stage(fingerprints(docs, keep, width), "fingerprints")
     unique = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "unique")
-    named = named_components(unique)
+    named = named_components(unique, most)
     return marked.join(named, "fp").select(*keep, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = 3, most: int = 3) -> DataFrame:
     """One row of each component of near-duplicates, with all columns: that of the smallest ``doc_id``, ties by the hash of
-    the text; of rows equal in both, any one. Rows with a null id stand behind others."""
+    the text; of rows equal in both, any one. Rows with a null id stand behind others. Fingerprints of shingles of ``width``
+    words link at ``most`` or fewer differing bits."""
     names = docs.columns
-    keyed = docs.withColumns({"key__": F.xxhash64("doc_id", "text"), "check__": F.hash("text", "doc_id")})
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key__").alias("key"), F.col("check__").alias("check"))
-    marked = stage(fingerprints(keyed, {"doc_id": "long", "key__": "long", "check__": "int"}, width), "fingerprints")
+    key, check = free_name(docs, "key"), free_name(docs, "check")
+    keyed = docs.withColumns({key: F.xxhash64("doc_id", "text"), check: F.hash("text", "doc_id")})
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key"), F.col("check"))
+    marked = stage(fingerprints(keyed.select("doc_id", "text", F.col(key).alias("key"), F.col(check).alias("check")), {"doc_id": "long", "key": "long", "check": "int"}, width), "fingerprints")
     unique = stage(marked.groupBy("fp").agg(F.min(rank).alias("first_id")), "unique")
-    first = named_components(unique).select(F.col("component_id.key").alias("key__"), F.col("component_id.check").alias("check__"))
+    first = named_components(unique, most).select(F.col("component_id.key").alias(key), F.col("component_id.check").alias(check))
     first = stage(first.distinct(), "first")
-    return keyed.join(first, ["key__", "check__"], "left_semi").dropDuplicates(["key__", "check__"]).select(*names)
+    return keyed.join(first, [key, check], "left_semi").dropDuplicates([key, check]).select(*names)

@@ -78,9 +78,10 @@ def leading(v: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """
     d = len(v)
     size = float(np.abs(v).sum(1).max()) if d else 0.0
-    blur = 4 * d * np.finfo(float).eps * size  # rounding of one factorisation
-    if size == 0.0 or not np.isfinite(size):
+    if size == 0.0:
         return np.zeros(0), np.zeros((0, d))
+    v = v / size
+    blur = 4 * d * np.finfo(float).eps  # rounding of one factorisation
     eye = np.eye(d)
     counts: dict[float, int] = {}
 
@@ -93,22 +94,22 @@ def leading(v: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     for k in range(1, min(most, above(blur)) + 1):
         # Counts made for earlier components already narrow the interval.
         low = max((s for s, c in counts.items() if c >= k), default=blur)
-        high = min((s for s, c in counts.items() if c < k), default=size + blur)
+        high = min((s for s, c in counts.items() if c < k), default=1 + blur)
         while True:
             while (above(low) > k or counts.get(high, 0) < k - 1) and high - low > 2 * blur:
                 mid = (low + high) / 2
                 low, high = (mid, high) if above(mid) >= k else (low, mid)
             value, x = _rayleigh(v, (low + high) / 2, vectors, k)
-            if low - blur <= value <= high + blur or high - low <= 2 * blur:
+            off = blur + float(np.linalg.norm(v @ x - value * x))
+            if off <= 64 * blur and above(value - 2 * off) >= k and above(value + 2 * off) < k:
                 break
+            if high - low <= 2 * blur:
+                raise Uncertified(f"component {k}")
             mid = (low + high) / 2  # it ran off to another eigenvalue: start nearer
             low, high = (mid, high) if above(mid) >= k else (low, mid)
-        off = blur + float(np.linalg.norm(v @ x - value * x))
-        if not (above(value - 2 * off) >= k and above(value + 2 * off) < k):
-            raise Uncertified(f"component {k}")
         values.append(value)
         vectors = np.vstack([vectors, x if x[np.abs(x).argmax()] > 0 else -x])
-    return np.array(values), vectors
+    return size * np.array(values), vectors
 
 
 def _rayleigh(v: np.ndarray, shift: float, known: np.ndarray, seed: int) -> tuple[float, np.ndarray]:
@@ -118,6 +119,7 @@ def _rayleigh(v: np.ndarray, shift: float, known: np.ndarray, seed: int) -> tupl
     eye = np.eye(d)
 
     def unit(y: np.ndarray) -> np.ndarray:
+        y = y / np.abs(y).max()  # solutions close to an eigenvalue are very long
         y = y - known.T @ (known @ y)
         y = y - known.T @ (known @ y)
         return y / np.linalg.norm(y)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newstide.llm.common import bounded_batches
+from newstide.llm.common import bounded_batches, free_name
 
 SPACE = "▁"
 #: Pieces remembered per worker; it bounds memory and has no effect on results.
@@ -148,4 +148,5 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
         found = [count(t) for t in texts]
         return pd.DataFrame({"n_tokens": np.array([f[0] for f in found], np.int64), "best_score": np.array([f[1] for f in found], float)})
 
-    return docs.withColumn("counted__", counted("text")).select(*docs.columns, "counted__.*")
+    out = free_name(docs, "counts")
+    return docs.withColumn(out, counted("text")).select(*docs.columns, f"{out}.*")
