@@ -34,7 +34,7 @@ from newstide.session import cut, scratch_path
 #: A term is a run of letters and digits, in ASCII, and of all that lies beyond ASCII.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Occurrences (terms and documents) of one shard, and document ranges looked at together; both bound memory only.
-SHARD_CELLS = 2_000_000
+SHARD_CELLS = 1_000_000
 GROUP_RANGES = 512
 #: Terms of the items searched in one reading of the index; more items are searched in several.
 BLOCK_TERMS = 200_000
@@ -216,9 +216,14 @@ def build_index(docs: DataFrame, path: str | None = None) -> Index:
     spark = docs.sparkSession
     path = path or scratch_path(spark, "treap")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    n = F.regexp_count("text", F.lit(TERM)).cast("long")
-    totals = rows.agg(F.count_if(n > 0).alias("docs"), F.coalesce(F.sum(n), F.lit(0)).alias("terms")).first()
-    n_docs, n_terms = int(totals["docs"]), int(totals["terms"])
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [len(_find_terms(t)) for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(x > 0 for x in n)], pa.int64()), pa.array([sum(n)], pa.int64())], ["docs", "terms"])
+
+    totals = map_batches(rows.select("text"), sizes, "docs long, terms long").agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
+    n_docs, n_terms = totals["docs"] or 0, totals["terms"] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(f.split()[0], {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[f.split()[1]]) for f in INDEX_SCHEMA.split(", ")])
