@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
-from newstide.llm import decontam, isoforest, minhash, packing, pairrank, rans, secret_scan, simhash, textstats, tokenizing, unigram, urlfilter, warc
+from newstide.llm import decontam, isoforest, packing, pairrank, rans, secret_scan, simhash, textstats, tokenizing, unigram, urlfilter, warc
 from newstide.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -26,7 +26,7 @@ TEXTS = [
     (9, "AKIA" + "A1" * 10 + " akia" + "b" * 20), (10, "a"),
 ]
 #: Names that operators use inside or add.
-CLASH = ("kept", "score", "secrets", "fp", "part", "kinds", "text_key", "host", "n_tokens", "verdict", "label", "n_words")
+CLASH = ("kept", "score", "secrets", "fp", "part", "kinds", "text_key", "host", "n_tokens", "verdict", "label", "n_words", "key", "check", "counts", "kinds_", "text_key_", "secrets_", "verdict_")
 
 
 @pytest.fixture(scope="module")
@@ -206,7 +206,7 @@ def test_links_within_and_across_tasks(spark, monkeypatch):
     want = plain_components(keys)
     monkeypatch.setattr(simhash, "TASK_ROWS", 40)  # many tasks, so that front blocks span them
     unique = spark.createDataFrame([(k - (1 << 64) if k >> 63 else k, i) for i, k in enumerate(keys)], "fp long, first_id long")
-    named = {r.fp: r.component_id for r in simhash.named_components(unique).collect()}
+    named = {r.fp: r.component_id for r in simhash.named_components(unique, 3).collect()}
     assert [named[k - (1 << 64) if k >> 63 else k] for k in keys] == want
 
 
@@ -493,7 +493,7 @@ def test_sql_of_queries(spark):
 def test_every_operator_has_a_query():
     from newstide.llm.queries import REGISTRY
 
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY} == set(range(1, 14))
 
 
 def test_pipeline_against_plain_version(spark):
@@ -533,24 +533,6 @@ def test_pipeline_against_plain_version(spark):
     assert packed.length.sum() == sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for t in last.text)
 
 
-# --- near-duplicates by similarity --------------------------------------------------
-
-
-def plain_similar(texts, least=0.8, width=5):
-    """Lowest place of the component of every text, by the Jaccard similarity of all pairs."""
-    sets = []
-    for text in texts:
-        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))})
-    root = list(range(len(texts)))
-    for i, a in enumerate(sets):
-        for j in range(i):
-            if root[i] != root[j] and len(a & sets[j]) >= least * len(a | sets[j]) - 1e-9:
-                low, high = sorted((root[i], root[j]))
-                root = [low if r == high else r for r in root]
-    return root
-
-
 def edited(rng, words, n):
     words = list(words)
     for i in rng.sample(range(len(words)), n):
@@ -558,50 +540,6 @@ def edited(rng, words, n):
     return words
 
 
-def test_edited_copies_are_one(spark, docs, none, monkeypatch):
-    rng = random.Random(21)
-    fresh = lambda n: [f"w{rng.randint(1, 5000)}" for _ in range(n)]
-    texts = []
-    for _ in range(40):  # two of 200 words replaced: a similarity of about 0.9, and more than 3 bits apart
-        base = fresh(200)
-        texts += [" ".join(base), " ".join(edited(rng, base, 2)).upper()]
-    chain = fresh(200)
-    for _ in range(30):  # similar from one to the next only
-        chain = chain[4:] + fresh(4)
-        texts.append(" ".join(chain))
-    hub = fresh(120)
-    for _ in range(60):  # some within 0.8 of each other, some not
-        texts.append(" ".join(edited(rng, hub, rng.randint(0, 4))))
-    texts += ["a b", "A  b", "a b c", "", None]
-    want = {i for i, r in enumerate(plain_similar(texts)) if i == r}
-    own = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("node", F.lit("mine"))
-    for most in (128, 5):  # in one tile and in many
-        monkeypatch.setattr(minhash, "TILE_TEXTS", most)
-        got = minhash.keep_one(own)
-        assert got.columns == own.columns and {r.doc_id for r in got.collect()} == want
-    assert {r.doc_id for r in simhash.keep_one(own).collect()} != want
-    assert sorted(str(r.doc_id) for r in minhash.keep_one(docs).collect()) == sorted(map(str, (1, 2, 4, None, 6, 7, 8, 9, 10)))
-    assert minhash.keep_one(none).count() == 0
-
-
-def test_overlaps_in_blocks(monkeypatch):
-    rng = np.random.default_rng(3)
-    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(12)]
-    monkeypatch.setattr(minhash, "BLOCK_CELLS", 64)
-    assert minhash.overlaps(sets[:5], sets[5:]).tolist() == [[len(np.intersect1d(a, b)) for b in sets[5:]] for a in sets[:5]]
-
-
-def test_dedup_stage_against_similarity(spark):
-    import corpus_pipeline
-
-    sf = "/root/testdata/sf0.001"
-    docs = corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
-    source = docs.toPandas().sort_values("doc_id")
-    want = {i for i, (place, root) in zip(source.doc_id, enumerate(plain_similar(list(source.text))), strict=True) if place == root}
-    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(source, docs.schema), sf)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == want
-
-
 def test_quality_stage_leaves_columns_alone(spark):
     import corpus_pipeline
 
