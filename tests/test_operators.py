@@ -2,6 +2,8 @@
 
 import datetime as dt
 import math
+import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from newstide.functions import scoring as SCF
 from newstide.functions import text as TX
 from newstide.functions import urls as U
 from newstide.functions import vectors as VX
-from newstide.operators import dedup, filters, labels, links, maintenance, scores, stats, threads, words
+from newstide.operators import dedup, filters, labels, links, maintenance, scan, scores, stats, threads, words
 from newstide.operators import samples as SM
 
 
@@ -325,6 +327,70 @@ def test_ema_and_novelty_over_days(spark):
     assert nov[1] == 1.0 and math.isclose(nov[2], 1 - 1 / 3) and math.isclose(nov[3], 1 - 1 / 3) and nov[5] == 1.0
 
 
+def plain_history(rows, lam=0.7, days_back=7):
+    """Day by day, as a dictionary of (thread, date) to segment, momentum and novelty."""
+    out, last = {}, {}
+    for thread, date, score, entities in sorted(rows, key=lambda r: (r[0], r[1])):
+        own = {e.lower() for e in entities or [] if e}
+        before = last.get(thread)
+        if before and before[0] == date - timedelta(1):
+            _, segment, ema, past = before
+            seen = {e for d, es in past if d >= date - timedelta(days_back) for e in es}
+            ema = lam * score + (1 - lam) * ema
+            novelty = 1 - (len(own & seen) / len(own | seen) if own | seen else 0.0)
+        else:
+            segment, ema, past, novelty = date, score, [], 1.0
+        last[thread] = (date, segment, ema, [*past[-days_back:], (date, own)])
+        out[thread, date] = (segment, ema, novelty)
+    return out
+
+
+def test_histories_against_day_by_day(spark):
+    rng = random.Random(8)
+    rows = []
+    for t in range(12):
+        at = day(1) + timedelta(rng.randint(-3000, 300))
+        for _ in range(rng.choice([1, 5, 90, 400])):
+            names = [rng.choice(["Ann", "ann", "bo", "cy", "", None, "dee", "eve", "flo"]) for _ in range(rng.randint(0, 5))]
+            rows.append((f"t{t}", at, rng.random() * 10, rng.choice([names, names, None])))
+            at += timedelta(rng.choice([1] * 30 + [2, 9]))
+    want = plain_history(rows)
+    df = spark.createDataFrame(rows, DAYS).repartition(5)
+    got = {(r.thread_id, r.date): (r.segment, r.ema) for r in threads.ema_history(df).collect()}
+    assert len(got) == len(rows) and all(got[k][0] == want[k][0] and math.isclose(got[k][1], want[k][1], rel_tol=1e-9) for k in want)
+    got = {(r.thread_id, r.date): (r.segment, r.novelty) for r in threads.novelty_history(df).collect()}
+    assert len(got) == len(rows) and all(got[k][0] == want[k][0] and math.isclose(got[k][1], want[k][2], abs_tol=1e-12) for k in want)
+    assert threads.ema_history(df.limit(0)).count() == threads.novelty_history(df.limit(0)).count() == 0
+    for plan in (threads.ema_history(df), threads.novelty_history(df)):
+        assert "flatten" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_one_thread_of_a_hundred_thousand_days(spark):
+    first = day(1).replace(year=1740)
+    df = spark.range(100_000).select(
+        F.lit("t").alias("thread_id"), F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"),
+        (F.col("id") % 97).cast("double").alias("cluster_score_today"), F.array((F.col("id") % 10).cast("string")).alias("top_entities"),
+    )
+    got = threads.ema_history(df).orderBy("date").select("ema", "segment").toPandas()
+    ema, want = None, []
+    for i in range(100_000):
+        ema = float(i % 97) if ema is None else 0.7 * (i % 97) + (1 - 0.7) * ema
+        want.append(ema)
+    assert len(got) == 100_000 and set(got.segment) == {first}
+    assert max(abs(a - b) for a, b in zip(got.ema, want, strict=True)) < 1e-9
+    # Blocks of the one thread lie in many tasks, where Spark does not put small partitions together.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = df.withColumn("day", F.datediff("date", F.lit(first)))
+        seen = scan.prefix_scan(numbered, ["thread_id"], "day", F.lit(1), "bigint", lambda x, y: x + y).withColumn("p", F.spark_partition_id())
+        total = seen.agg(F.sum("scan").alias("sum"), F.countDistinct("p").alias("tasks")).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert total["sum"] == 100_000 * 100_001 // 2 and total["tasks"] > 4
+    nov = threads.novelty_history(df)
+    assert nov.count() == 100_000 and nov.where("novelty < 1").count() == 0  # seen again after ten days only
+
+
 HISTORY = "thread_id string, centroid array<double>, ema double, top_entities array<string>, date date"
 RANKED = "cluster_id string, centroid array<double>, top_entities array<string>, cluster_score_today double, diversity_bonus double"
 
