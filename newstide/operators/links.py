@@ -12,6 +12,32 @@ def is_processed() -> Column:
     return flagged | (F.coalesce(F.col("in_sample"), F.lit("")) != "")
 
 
+BUCKETS = 64
+
+
+def bucket_of(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(BUCKETS)).cast("int")
+
+
+def as_marks(rows: DataFrame, at: Column | None = None) -> DataFrame:
+    """Rows of the change log from pool rows, or from (url, sample, created_at), which mark a url as done for a sample."""
+    if "sample" in rows.columns:
+        rows = rows.select("url", F.lit(True).alias("is_articles_processed"), F.col("sample").alias("in_sample"), "created_at")
+    marked = F.col("created_at") if at is None else at
+    return rows.select("url", "is_articles_processed", "in_sample", "created_at", marked.cast("timestamp").alias("marked_at"), bucket_of(F.col("url")).alias("bucket"))
+
+
+def latest(marks: DataFrame) -> DataFrame:
+    """The pool: per url its last mark that says anything, and when it was first seen.
+
+    Marks of one time are ordered by sample. A url that was only tracked has neither flag nor sample.
+    """
+    says = F.col("is_articles_processed").isNotNull() | F.col("in_sample").isNotNull()
+    last = F.max(F.when(says, F.struct("marked_at", "in_sample", "is_articles_processed")))
+    rows = marks.groupBy("url").agg(last.alias("last"), F.min("created_at").alias("created_at"))
+    return rows.select("url", "last.is_articles_processed", "last.in_sample", "created_at")
+
+
 def gate(articles: DataFrame, pool: DataFrame) -> DataFrame:
     """The articles whose url was not processed before."""
     return articles.join(pool.where(is_processed()).select("url"), "url", "left_anti")

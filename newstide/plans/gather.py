@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from newstide.operators.dedup import dedup_in_run
 from newstide.operators.filters import candidates
 from newstide.operators.models import Models, classify, topic_lexicon
 from newstide.operators.ordinals import ordinal_within
+from newstide.operators.samples import date_spine
 from newstide.operators.stats import outcome_counts, sample_distributions
 from newstide.session import cut, side_by_side
 from newstide.sources.tables import Tables
@@ -25,6 +28,7 @@ class Gathered:
     summaries: DataFrame
     link_pool: DataFrame
     metadata: DataFrame
+    marks: DataFrame
 
 
 def admit(rows: DataFrame, pool: DataFrame, order: tuple[str, ...] = ("source_ord", "pos")) -> DataFrame:
@@ -96,7 +100,28 @@ def gather(
         as_of.cast("timestamp").alias("gathering_started_at"), as_of.cast("timestamp").alias("gathering_finished_at"),
     )
     marks = done.select("url", "sample", "created_at")  # failed rows are marked too, so that they are not tried forever
-    return Gathered(articles, summaries, links.mark_processed(pool, marks), meta)
+    return Gathered(articles, summaries, links.mark_processed(pool, marks), meta, marks)
+
+
+def run_days(
+    tables: Tables, source: Callable[[date], DataFrame], start: date, end: date, polarity: DataFrame, batch: int = 1, models: Models = Models(), dry_run: bool = False
+) -> dict[str, str | None]:
+    """Gather every day from ``start`` to ``end``, both included; returns per sample None, or why it failed.
+
+    ``source`` gives the rows of a day. A day that fails does not keep the others from running, and a later call may
+    repeat any day, since stored rows of its sample are replaced. A dry run only names the samples.
+    """
+    days = [r["date"] for r in date_spine(tables.spark, start, end).orderBy("date").collect()]
+    failed: dict[str, str | None] = {}
+    for day in days:
+        sample = f"{batch}-{day.isoformat()}"
+        failed[sample] = None
+        if not dry_run:
+            try:
+                run_gather(tables, source(day), sample, F.lit(day.isoformat()).cast("timestamp"), polarity, models)
+            except Exception as error:  # noqa: BLE001
+                failed[sample] = f"{type(error).__name__}: {error}"
+    return failed
 
 
 def run_gather(tables: Tables, raw: DataFrame, sample: str, as_of: Column, polarity: DataFrame, models: Models = Models(), persist: bool = True) -> Gathered:
@@ -104,14 +129,15 @@ def run_gather(tables: Tables, raw: DataFrame, sample: str, as_of: Column, polar
     from newstide.operators.samples import latest_sample
 
     meta = tables.read("metadata")
-    out = gather(raw, tables.read("link_pool"), sample, as_of, polarity, models=models)
+    raw = cut(raw)  # read for its urls first: of the pool only their rows are wanted
+    out = gather(raw, tables.links_of(raw), sample, as_of, polarity, models=models)
     if persist:
         before = latest_sample(meta.where(F.col("sample") != sample)).first()
         prev = before["sample"] if before else None
         # Safe to repeat after a stop: rows of the same sample and url are replaced.
         tables.upsert("articles", out.articles, ["sample", "url"])
         tables.upsert("summaries", out.summaries, ["sample", "url"])
-        tables.rewrite("link_pool", out.link_pool)
+        tables.append("link_marks", links.as_marks(out.marks, as_of))
         tables.upsert("metadata", out.metadata.withColumn("prev", F.lit(prev)), ["sample"])
         if prev:
             known = tables.read("metadata")

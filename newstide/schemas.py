@@ -21,6 +21,14 @@ CLEAN_ARTICLES = (
 
 LINK_POOL = "url string, is_articles_processed boolean, in_sample string, created_at timestamp"
 
+#: One row per change of a link; the pool is what the rows of each url add up to.
+LINK_MARKS = LINK_POOL + ", marked_at timestamp, bucket int"
+
+#: One row per change of a flag of a stored row, kept beside the texts.
+FLAG_LOG = "article_id long, value boolean, at timestamp, sample string"
+
+TERM_WEIGHTS = "slot int, idf double, n long"
+
 METADATA = (
     "sample string, batch int, prev string, next string, "
     "articles_processed struct<successfully:bigint,unsuccessfully:bigint,skipped:bigint>, "

@@ -531,6 +531,19 @@ m AS (SELECT cluster_id, sum(0.5::double * source_weight + 0.3::double * recency
              0.5::double * ln(1 + count(DISTINCT CASE WHEN source_weight >= 0.9 THEN source_domain END)) AS b FROM members GROUP BY 1)""",
             """SELECT cluster_id, round(s, 6) AS sum_article_weight, round(b, 6) AS diversity_bonus, round(s + b, 6) AS cluster_score_today FROM m""",
         ),
+        "clusters_by_score": with_(
+            CLUSTERS
+            + """,
+m AS (SELECT cluster_id, sum(0.5::double * source_weight + 0.3::double * recency_weight + 0.2::double * category_weight) AS s,
+             0.5::double * ln(1 + count(DISTINCT CASE WHEN source_weight >= 0.9 THEN source_domain END)) AS b FROM members GROUP BY 1),
+r AS (SELECT cluster_id, round(s + b, 6) AS cluster_score_today FROM m)""",
+            """SELECT row_number() OVER (ORDER BY cluster_score_today DESC, cluster_id)::int AS rank, cluster_id, cluster_score_today
+               FROM r ORDER BY 1 LIMIT 5""",
+        ),
+        "clusters_by_size": with_(
+            CLUSTERS + ", z AS (SELECT cluster_id, count(*) AS size FROM members GROUP BY 1)",
+            "SELECT row_number() OVER (ORDER BY size DESC, cluster_id)::int AS rank, cluster_id, size FROM z ORDER BY 1 LIMIT 5",
+        ),
         "cluster_terms": with_(TERMS, "SELECT cluster_id, term, round(score, 6) AS score, rank::int AS rank FROM top_terms"),
         "cluster_entities": with_(ENTITIES, "SELECT cluster_id, entity, cnt, rank::int AS rank FROM top_ent"),
         "cluster_labels": with_(

@@ -410,6 +410,23 @@ def cluster_scores(spark, sf_dir):
     return out.select("cluster_id", *[F.round(c, 6).alias(c) for c in cols])
 
 
+@query
+def clusters_by_score(spark, sf_dir):
+    """The five best-scored clusters in their order."""
+    rows = V.grouped_articles(spark, sf_dir)
+    scored = SC.cluster_scores(rows, V.clean_articles(spark, sf_dir), V.as_of(), V.TEST_SCORING)
+    top = SC.by_score(scored.withColumn("cluster_score_today", F.round("cluster_score_today", 6))).limit(5).withColumn("_at", F.monotonically_increasing_id())
+    return top.select(F.row_number().over(Window.orderBy("_at")).alias("rank"), "cluster_id", "cluster_score_today")
+
+
+@query
+def clusters_by_size(spark, sf_dir):
+    """The five largest clusters in their order."""
+    sizes = V.grouped_articles(spark, sf_dir).groupBy("cluster_id").agg(F.count("*").alias("size"))
+    top = SC.by_size(sizes).limit(5).withColumn("_at", F.monotonically_increasing_id())
+    return top.select(F.row_number().over(Window.orderBy("_at")).alias("rank"), "cluster_id", "size")
+
+
 # --- labels ------------------------------------------------------------------
 
 
