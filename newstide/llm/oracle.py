@@ -85,8 +85,8 @@ def _search_sql() -> str:
 _LINKS_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
-  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, e -> e IS NOT NULL AND isfinite(e))) = len(embedding)
-    AND len(list_filter(embedding, e -> e <> 0)) > 0),
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = len(embedding)
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
 link AS (
   SELECT p.vec_id AS u, q.vec_id AS w FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
   WHERE list_cosine_similarity(p.x, q.x) >= 0.93),
