@@ -267,7 +267,14 @@ def classify(df: DataFrame, topics: DataFrame, polarity: DataFrame, models: Mode
 
 # --- vectors -----------------------------------------------------------------
 
-DIMENSIONS = 16_384
+# Enough slots that rare words seldom share one: the search for similar texts meets them by their rarest slots.
+DIMENSIONS = 262_144
+Hash = Callable[[Column], Column]
+
+
+def portable_hash(word: Column) -> Column:
+    """A hash of 32 bits that other engines have too: the front of the MD5."""
+    return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long")
 
 
 def vector_text() -> Column:
@@ -275,20 +282,20 @@ def vector_text() -> Column:
     return F.coalesce(tx.blank_to_null(F.col("summary")), tx.blank_to_null(F.col("text")))
 
 
-def _slots(df: DataFrame, text: Column, dims: int) -> DataFrame:
+def _slots(df: DataFrame, text: Column, dims: int, hashed: Hash) -> DataFrame:
     words = tx.explode_words(df, tx.words(text), "article_id")
-    return words.groupBy("article_id", F.pmod(F.xxhash64("word"), F.lit(dims)).cast("int").alias("slot")).agg(F.count("*").alias("tf"))
+    return words.groupBy("article_id", F.pmod(hashed(F.col("word")), F.lit(dims)).cast("int").alias("slot")).agg(F.count("*").alias("tf"))
 
 
-def fit_idf(df: DataFrame, text: Column | None = None, dims: int = DIMENSIONS) -> DataFrame:
+def fit_idf(df: DataFrame, text: Column | None = None, dims: int = DIMENSIONS, hashed: Hash = F.xxhash64) -> DataFrame:
     """(slot, idf, n): at most ``dims`` rows, ``n`` being the number of texts. Fit once, store, and use for all days to be compared."""
     text = vector_text() if text is None else text
     n = df.agg(F.count("*")).first()[0]
-    seen = _slots(df, text, dims).groupBy("slot").agg(F.count("*").alias("df"))
+    seen = _slots(df, text, dims, hashed).groupBy("slot").agg(F.count("*").alias("df"))
     return cut(seen.select("slot", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf"), F.lit(n).cast("long").alias("n")))
 
 
-def embed_text(df: DataFrame, idf: DataFrame, text: Column | None = None, dims: int = DIMENSIONS) -> DataFrame:
+def embed_text(df: DataFrame, idf: DataFrame, text: Column | None = None, dims: int = DIMENSIONS, hashed: Hash = F.xxhash64) -> DataFrame:
     """(article_id, vec): hashed TF-IDF vector of length 1, sparse. Rows without words give none.
 
     Slots that the weight table has not seen have the weight of a word in no text, ln(1 + n) + 1, so no word is lost.
@@ -296,8 +303,8 @@ def embed_text(df: DataFrame, idf: DataFrame, text: Column | None = None, dims:
     text = vector_text() if text is None else text
     n = idf.agg(F.max("n")).first()[0] if "n" in idf.columns else None
     unseen = float(np.log(1 + (n or 0)) + 1)
-    known = broadcast_if_small(idf.select("slot", "idf"), dims)
-    cells = _slots(df, text, dims).join(known, "slot", "left").select("article_id", "slot", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("x"))
+    known = broadcast_if_small(idf.select("slot", "idf"), DIMENSIONS)
+    cells = _slots(df, text, dims, hashed).join(known, "slot", "left").select("article_id", "slot", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("x"))
     rows = cells.groupBy("article_id").agg(F.sort_array(F.collect_list(F.struct("slot", "x"))).alias("c"))
     values = l2_normalize(F.transform("c", lambda c: c["x"]))
     return rows.select("article_id", F.struct(F.transform("c", lambda c: c["slot"]).alias("indices"), values.alias("values")).alias("vec"))

@@ -603,6 +603,34 @@ reach(v, r) AS (SELECT a, a FROM near UNION SELECT reach.v, near.b FROM reach JO
     }
 
 
+def text_vectors() -> dict[str, str]:
+    unit = CLEAN + f""",
+cells AS (SELECT article_id, batch, unnest({WORDS_IN.format("coalesce(nullif(summary, ''), text)")}) AS w FROM clean),
+tf AS (SELECT article_id, batch, (('0x' || md5(w)[1:8])::bigint % 262144)::int AS slot, count(*) AS tf FROM cells GROUP BY ALL),
+idf AS (SELECT slot, ln((1 + (SELECT count(*) FROM clean)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY 1),
+cell AS (SELECT article_id, batch, tf.slot, tf * idf AS x FROM tf JOIN idf ON idf.slot = tf.slot),
+size AS (SELECT article_id, sqrt(sum(x * x)) + 1e-9 AS n FROM cell GROUP BY 1),
+unit AS (SELECT cell.article_id, batch, slot, x / n AS x FROM cell JOIN size ON size.article_id = cell.article_id)"""
+    pairs = ",\nnear AS (SELECT l.article_id AS a, r.article_id AS b, round(1 - sum(l.x * r.x), 9) AS d FROM unit l JOIN unit r ON r.slot = l.slot AND {0} GROUP BY 1, 2 HAVING d {1})"
+    return {
+        "embed_slots": with_(
+            unit,
+            """SELECT article_id, count(*) AS slots, round(max(x), 6) AS top, sum(slot)::bigint AS slot_sum, round(sum(x), 6) AS total
+               FROM unit GROUP BY 1""",
+        ),
+        "similar_texts": with_(
+            "RECURSIVE " + unit.strip() + pairs.format("l.article_id <> r.article_id", "< 0.3")
+            + ",\nreach(v, r) AS (SELECT a, a FROM near UNION SELECT reach.v, near.b FROM reach JOIN near ON near.a = reach.r)",
+            """SELECT n.*, r.component FROM (SELECT a AS article_id, arg_min(b, (d, b)) AS nearest_id, round(min(d), 6) AS dist FROM near GROUP BY 1) n
+               JOIN (SELECT v, min(r) AS component FROM reach GROUP BY 1) r ON r.v = n.article_id""",
+        ),
+        "link_text_threads": with_(
+            unit + pairs.format("r.batch = 2", "<= 0.2"),
+            """SELECT 'c' || a AS cluster_id, arg_min('t' || b, (d, 't' || b)) AS thread_id, round(1 - min(d), 6) AS similarity FROM near GROUP BY a""",
+        ),
+    }
+
+
 def threads() -> dict[str, str]:
     day = "strftime({0}, '%Y-%m-%d') AS {0}"
     return {
@@ -708,6 +736,6 @@ def landed() -> dict[str, str]:
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (words, filters, samples, counts, upkeep, scores, clusters, threads, models, landed):
+    for part in (words, filters, samples, counts, upkeep, scores, clusters, text_vectors, threads, models, landed):
         out.update(part())
     return out

@@ -20,6 +20,7 @@ from newstide.operators import links as LK
 from newstide.operators import maintenance as MT
 from newstide.operators import models as MD
 from newstide.operators import neighbours as NB
+from newstide.operators import postings as PO
 from newstide.operators import samples as SM
 from newstide.operators import scores as SC
 from newstide.operators import stats as ST
@@ -505,6 +506,32 @@ def embed_text(spark, sf_dir):
     return out.select("article_id", F.round(VX.norm(F.col("vec.values")), 6).alias("length"))
 
 
+def _portable_vectors(rows):
+    """Vectors of texts whose slots other engines can work out."""
+    return MD.embed_text(rows, MD.fit_idf(rows, hashed=MD.portable_hash), hashed=MD.portable_hash)
+
+
+@query
+def embed_slots(spark, sf_dir):
+    """Per text the number of slots, the greatest value with its slot, and the sum of the values."""
+    cells = _portable_vectors(V.clean_articles(spark, sf_dir)).select("article_id", F.explode(F.arrays_zip("vec.indices", "vec.values")).alias("c"))
+    return cells.groupBy("article_id").agg(
+        F.count("*").alias("slots"), F.round(F.max("c.values"), 6).alias("top"),
+        F.sum(F.col("c.indices").cast("long")).alias("slot_sum"), F.round(F.sum("c.values"), 6).alias("total"),
+    )
+
+
+@query
+def similar_texts(spark, sf_dir):
+    """For each text with a text at a cosine above 0.7 the nearest one and its component, through shared rare slots."""
+    rows = cut(_portable_vectors(V.clean_articles(spark, sf_dir)).select(F.lit("all").alias("grp"), F.col("article_id").alias("id"), "vec"))
+    near = PO.best_matches(rows, None, ClusterConfig().distance)
+    component = CL.vector_components(rows, ClusterConfig().distance)
+    return near.join(component, ["grp", "id"]).select(
+        F.col("id").alias("article_id"), F.col("other").alias("nearest_id"), F.round("dist", 6).alias("dist"), "component"
+    )
+
+
 # --- threads -----------------------------------------------------------------
 
 
@@ -518,6 +545,16 @@ def link_threads(spark, sf_dir):
     return today.select("cluster_id").join(linked, "cluster_id", "left").select("cluster_id", "thread_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query
+def link_text_threads(spark, sf_dir):
+    """Every text is a cluster of today, the texts of the second batch are yesterday's threads; sparse vectors."""
+    rows = V.clean_articles(spark, sf_dir)
+    vectors = cut(_portable_vectors(rows).join(rows.select("article_id", "batch"), "article_id"))
+    today = vectors.select(F.concat(F.lit("c"), F.col("article_id").cast("string")).alias("cluster_id"), F.col("vec").alias("centroid"))
+    yesterday = vectors.where("batch = 2").select(F.concat(F.lit("t"), F.col("article_id").cast("string")).alias("thread_id"), F.col("vec").alias("centroid"))
+    return TH.link_threads(today, yesterday).select("cluster_id", "thread_id", F.round("similarity", 6).alias("similarity"))
+
+
 def _day_text(df):
     for c in ("date", "segment"):
         if c in df.columns:
