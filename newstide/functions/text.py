@@ -45,6 +45,26 @@ def coerce_text(col: Column, dtype: T.DataType) -> Column:
     return F.coalesce(strip(text), F.lit(""))
 
 
+def coerce_variant(value: Column, depth: int = 3) -> Column:
+    """``coerce_text`` of a VARIANT, whose type is decided row by row; never null, always stripped.
+
+    Lists are joined by newlines, an object whose ``text`` is text or a list gives that, everything else its string form.
+    Beyond ``depth`` levels of nesting values take their string form, which for lists and objects is JSON.
+    """
+    plain = F.coalesce(strip(F.try_variant_get(value, "$", "string")), F.lit(""))
+    if depth == 0:
+        return plain
+    items = F.try_variant_get(value, "$", "array<variant>")
+    inner = F.try_variant_get(value, "$.text", "variant")
+    kind = F.schema_of_variant(inner)
+    joined = strip(F.array_join(F.transform(items, lambda x: coerce_variant(x, depth - 1)), "\n"))
+    return (
+        F.when(items.isNotNull(), joined)
+        .when((kind == "STRING") | kind.startswith("ARRAY"), coerce_variant(inner, depth - 1))
+        .otherwise(plain)
+    )
+
+
 def _has_text(dtype: T.StructType) -> bool:
     return "text" in dtype.names and isinstance(
         dtype["text"].dataType, (T.StringType, T.BinaryType, T.ArrayType)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newstide import schemas
-from newstide.functions.text import blank_to_null, strip
+from newstide.functions.text import blank_to_null, coerce_variant, strip
 from newstide.operators.filters import has_unwanted, publication_status
 
 
@@ -19,6 +19,30 @@ def read_feed_json(spark: SparkSession, path: str, multi_line: bool = False) ->
     return pages.select("category", F.explode("articles").alias("a")).select("category", "a.*")
 
 
+def read_feed_variant(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_feed_json`` for pages, one per line, whose fields change type from entry to entry.
+
+    Titles and contents may be text, numbers, lists or objects, and a source its name alone; a typed reader would make
+    such entries null. Lines that are no JSON, and pages without a list of articles, give no rows. A field that is
+    missing or null stays null.
+    """
+    lines = spark.read.text(path)
+    page = lines.withColumn("page", F.try_parse_json("value"))
+    category = F.col("category").cast("string") if "category" in lines.columns else F.try_variant_get("page", "$.category", "string")
+    rows = page.select(category.alias("category"), F.explode(F.try_variant_get("page", "$.articles", "array<variant>")).alias("a"))
+
+    def text(name: str) -> Column:
+        value = F.try_variant_get("a", f"$.{name}", "variant")
+        return F.when(value.isNotNull() & ~F.is_variant_null(value), coerce_variant(value)).alias(name)
+
+    named = F.try_variant_get("a", "$.source.name", "string")
+    alone = F.when(F.schema_of_variant(F.try_variant_get("a", "$.source", "variant")) == "STRING", F.try_variant_get("a", "$.source", "string"))
+    return rows.select(
+        "category", text("title"), F.try_variant_get("a", "$.url", "string").alias("url"), text("content"),
+        F.try_variant_get("a", "$.publishedAt", "string").alias("publishedAt"), F.struct(F.coalesce(named, alone).alias("name")).alias("source"),
+    )
+
+
 def _entries(feed: DataFrame, scraped_at: Column) -> DataFrame:
     return feed.where(~has_unwanted(F.col("content")) & (F.coalesce("url", F.lit("")) != "")).select(
         "url",

@@ -720,6 +720,15 @@ def landed() -> dict[str, str]:
         "ingest_feed_json": with_(
             ARTICLES + bodies, f"SELECT {FEED_ROWS.format(title='title', more='')} FROM articles JOIN bodies ON u = url GROUP BY 1, 2, 3, 4"
         ),
+        "ingest_mixed_json": with_(
+            ARTICLES,
+            f"""SELECT url, title, source, md5(t) AS text_md5, count(*) AS cnt FROM (
+                  SELECT url, source, CASE article_id % 5 WHEN 1 THEN article_id::varchar WHEN 3 THEN {strip("coalesce(title, '') || chr(10) || coalesce(title, '')")}
+                                      ELSE {strip("title")} END AS title,
+                         CASE WHEN article_id % 5 IN (0, 2) THEN {strip("text")}
+                              ELSE {strip(f"array_to_string(list_transform(string_split(text, chr(10)), lambda x: {strip('x')}), chr(10))")} END AS t
+                  FROM articles WHERE text IS NOT NULL) GROUP BY ALL""",
+        ),
         "ingest_category_json": with_(
             ARTICLES + bodies,
             f"""SELECT {FEED_ROWS.format(title='title', more=", category, strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') AS published_at")}

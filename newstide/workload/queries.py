@@ -683,6 +683,29 @@ def ingest_feed_json(spark, sf_dir):
     return _feed_rows(FD.topical_feed(feed, _feed_bodies(spark, sf_dir), V.as_of()))
 
 
+@query
+def ingest_mixed_json(spark, sf_dir):
+    """The articles as feed pages whose titles, contents and sources change type from entry to entry."""
+    rows = V.articles(spark, sf_dir)
+    lines, kind = F.split("text", "\n"), F.col("article_id") % 5
+
+    def page(title, content, source):
+        return F.to_json(F.struct(F.array(F.struct(title.alias("title"), "url", content.alias("content"), source.alias("source"))).alias("articles")))
+
+    title, text, source = F.col("title"), F.col("text"), F.col("source")
+    value = (
+        F.when(kind == 0, page(title, text, source))
+        .when(kind == 1, page(F.col("article_id"), lines, F.struct(source.alias("name"))))
+        .when(kind == 2, page(title, F.struct(text.alias("text"), title.alias("title")), source))
+        .when(kind == 3, page(F.array(title, title), F.struct(lines.alias("text")), F.struct(source.alias("name"))))
+        .otherwise(page(title, F.array(F.struct(lines.alias("text"))), source))
+    )
+    path = scratch_path(spark, "mixed-feed")
+    rows.select(value.alias("value")).write.text(path)
+    feed = FD.read_feed_variant(spark, path).select("title", "url", F.col("content").alias("text"), F.col("source.name").alias("source"))
+    return _feed_rows(feed)
+
+
 @query
 def ingest_category_json(spark, sf_dir):
     feed = FD.read_feed_json(spark, _landed_feed(spark, sf_dir)).where(F.col("category") != "none")
