@@ -150,6 +150,37 @@ def plain(html: str) -> str:
 PAGE_TEXT = f"""nullif({plain("regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1)")}, '')"""
 PAGE_TITLE = f"""nullif({plain("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '')"""
 
+def main_text() -> str:
+    e = "regexp_replace(html, '</?article>', '', 'g')"
+    for pattern, by in (
+        ("(?is)<!--.*?-->", "''"),
+        (r"(?is)<(head|script|style|nav|aside|footer|noscript)\b[^>]*>.*?</(head|script|style|nav|aside|footer|noscript)>", "''"),
+        (r"(?i)<br\s*/?>|</?(p|div|li|ul|ol|h[1-6]|tr|table|section|blockquote)\b[^>]*>", "chr(10)"),
+        (r"(?i)<a\b[^>]*>", "chr(1)"), ("(?i)</a>", "chr(2)"), ("(?s)<[^>]*>", "''"),
+    ):
+        e = f"regexp_replace({e}, {lit(pattern)}, {by}, 'g')"
+    for name, char in ENTITY_STEPS:
+        e = f"replace({e}, {lit(name)}, {lit(char)})"
+    bare = "replace(replace({0}, chr(1), ''), chr(2), '')"
+    outside = bare.format("regexp_replace(line, chr(1) || '[^' || chr(2) || ']*' || chr(2), '', 'g')")
+    # The best run ends where the running sum lies highest above the least one before, the latest of equally low ones.
+    return f"""
+        WITH cut AS (SELECT page_id, string_split(regexp_replace({e}, '[ \\t]+', ' ', 'g'), chr(10)) AS l FROM pages),
+        lines AS (SELECT page_id, {strip("unnest(l)")} AS line, generate_subscripts(l, 1) AS i FROM cut),
+        b AS (SELECT page_id, i, {bare.format("line")} AS t, 2 * length({outside}) - length({bare.format("line")}) - 40 AS score FROM lines),
+        n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) AS pos FROM b WHERE {strip("t")} <> ''),
+        p AS (SELECT *, sum(score) OVER (PARTITION BY page_id ORDER BY pos) AS high FROM n),
+        q AS (SELECT *, least(0, coalesce(min(high * 1000000 - pos) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS low FROM p),
+        r AS (SELECT page_id, pos AS last, ceil(low / 1000000.0)::bigint AS base, (ceil(low / 1000000.0) * 1000000 - low)::bigint AS prior, high FROM q),
+        run AS (SELECT page_id, max(prior) AS prior, max(last) AS last FROM (
+                  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY high - base DESC, last) AS k FROM r) WHERE k = 1 GROUP BY 1),
+        x AS (SELECT n.page_id, nullif({strip("string_agg(t, chr(10) ORDER BY pos)")}, '') AS text
+              FROM n JOIN run ON run.page_id = n.page_id AND n.pos > prior AND n.pos <= last GROUP BY 1)
+        SELECT pages.page_id, length(text)::int AS n, md5(text) AS text_md5 FROM pages LEFT JOIN x ON x.page_id = pages.page_id"""
+
+
+MAIN_TEXT = main_text()
+
 RAW = (
     ARTICLES
     + f""",
@@ -277,6 +308,7 @@ def filters() -> dict[str, str]:
                    CASE WHEN starts_with(href, '/') THEN regexp_extract(base, '^[a-z]+://[^/?#]+') || href ELSE href END AS url,
                    {plain("inside")} AS title
             FROM a WHERE href <> ''""",
+        "extract_main_text": MAIN_TEXT,
         "extract_article_text": f"SELECT page_id, length(t)::int AS n, md5(t) AS text_md5 FROM (SELECT page_id, {PAGE_TEXT} AS t FROM pages)",
     }
 

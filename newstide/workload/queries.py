@@ -31,6 +31,7 @@ from newstide.plans import gather as GA
 from newstide.plans import trends as TR
 from newstide.session import cut, scratch_path
 from newstide.sources import feeds as FD
+from newstide.sources import maintext as MX
 from newstide.sources import pages as PG
 from newstide.sources.tables import set_where, upsert
 from newstide.streaming import intake as IN
@@ -226,6 +227,13 @@ def extract_article_text(spark, sf_dir):
     return rows.select("page_id", F.length("text").alias("n"), F.md5("text").alias("text_md5"))
 
 
+@query
+def extract_main_text(spark, sf_dir):
+    """The pages without their article marks: the run of blocks with the most text beside links."""
+    pages = V.table(spark, sf_dir, "pages").withColumn("html", F.regexp_replace("html", "</?article>", ""))
+    return MX.main_text(pages).select("page_id", F.length("text").alias("n"), F.md5("text").alias("text_md5"))
+
+
 # --- samples -----------------------------------------------------------------
 
 
