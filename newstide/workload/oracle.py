@@ -108,6 +108,11 @@ def words() -> dict[str, str]:
             OCCURRENCES,
             "SELECT sample, count(*) AS total_words, count(DISTINCT word) AS distinct_words FROM occ GROUP BY sample",
         ),
+        "word_metrics_sketched": with_(
+            OCCURRENCES,
+            """SELECT regexp_extract(sample, '^[0-9]+')::int AS batch, count(*) AS total_words, count(DISTINCT word) AS distinct_words, true AS "close"
+               FROM occ GROUP BY 1""",
+        ),
         "word_context": with_(CONTEXT, "SELECT sample, word, kind, label, n, percentage FROM context"),
         "daily_trends_words": with_(
             CONTEXT
@@ -147,6 +152,16 @@ def plain(html: str) -> str:
     return strip(f"regexp_replace({e}, ' ?\\n[ \\n]*', chr(10), 'g')")
 
 
+def cards(href: str, title: str) -> str:
+    """Links of the navigation by their address, straight from the stored pages."""
+    anchor = '<a href="(/[^"]*)">([^<]*)</a>'
+    return f"""
+            WITH a AS (SELECT page_id, url AS base, unnest(regexp_extract_all(html, '{anchor}', 1)) AS href, unnest(regexp_extract_all(html, '{anchor}', 2)) AS inside,
+                         generate_subscripts(regexp_extract_all(html, '{anchor}', 1), 1) AS n FROM pages)
+            SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY n) - 1)::int AS pos, regexp_extract(base, '^[a-z]+://[^/?#]+') || href AS url, {plain(title)} AS title
+            FROM a WHERE regexp_matches(href, '{href}') AND {plain(title)} <> ''"""
+
+
 PAGE_TEXT = f"""nullif({plain("regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1)")}, '')"""
 PAGE_TITLE = f"""nullif({plain("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '')"""
 
@@ -308,6 +323,8 @@ def filters() -> dict[str, str]:
                    CASE WHEN starts_with(href, '/') THEN regexp_extract(base, '^[a-z]+://[^/?#]+') || href ELSE href END AS url,
                    {plain("inside")} AS title
             FROM a WHERE href <> ''""",
+        "harvest_inner_links": cards("^/t", "inside"),
+        "harvest_attribute_links": cards("^/[a-z]", "inside || ' (teaser)'"),
         "extract_main_text": MAIN_TEXT,
         "extract_article_text": f"SELECT page_id, length(t)::int AS n, md5(t) AS text_md5 FROM (SELECT page_id, {PAGE_TEXT} AS t FROM pages)",
     }
@@ -743,6 +760,7 @@ hit AS (SELECT article_id, sum(p) AS p, count(*) AS n FROM tok JOIN pol ON pol.w
     }
 
 
+PLUGGED = "SELECT url, title, source, md5(text) AS text_md5, count(*) AS cnt FROM articles GROUP BY ALL"
 FEED_ROWS = "url, coalesce({title}, '') AS title, source, md5(body) AS text_md5{more}, count(*) AS cnt"
 
 
@@ -770,6 +788,20 @@ def landed() -> dict[str, str]:
         "ingest_rss_xml": with_(
             ARTICLES, "SELECT url, title, 'wire' AS source, md5(source) AS text_md5, count(*) AS cnt FROM articles WHERE title IS NOT NULL GROUP BY 1, 2, 4"
         ),
+        "ingest_plugged_source": with_(ARTICLES, PLUGGED),
+        "stream_plugged_source": with_(ARTICLES, PLUGGED),
+        # A link that is let through is followed by the first one more than seven days later, up to the first mark.
+        "stream_link_pool": """
+            WITH RECURSIVE links AS (
+              SELECT 'u' || user_id AS url, ts, min(CASE WHEN event_type = 'purchase' THEN ts END) OVER (PARTITION BY user_id) AS done_at, event_type
+              FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+            open_links AS (SELECT DISTINCT url, ts FROM links WHERE coalesce(event_type <> 'purchase', true) AND (done_at IS NULL OR ts <= done_at)),
+            chain AS (SELECT url, ts, min(ts) OVER (PARTITION BY url ORDER BY ts RANGE BETWEEN INTERVAL 604800000001 MICROSECONDS FOLLOWING AND UNBOUNDED FOLLOWING) AS after FROM open_links),
+            through AS (
+              SELECT url, min(ts) AS ts, arg_min(after, ts) AS after FROM chain GROUP BY url
+              UNION ALL
+              SELECT c.url, c.ts, c.after FROM through t JOIN chain c ON c.url = t.url AND c.ts = t.after)
+            SELECT url, epoch_us(ts) AS at_us FROM through""",
         "stream_intake": "SELECT source, lang, count(*) AS cnt, sum(length(text))::bigint AS chars FROM documents GROUP BY ALL",
         "stream_url_dedup": "SELECT DISTINCT lower(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)) AS url FROM pages",
     }

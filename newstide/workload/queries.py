@@ -23,6 +23,7 @@ from newstide.operators import neighbours as NB
 from newstide.operators import postings as PO
 from newstide.operators import samples as SM
 from newstide.operators import scores as SC
+from newstide.operators import sketches as SK
 from newstide.operators import stats as ST
 from newstide.operators import threads as TH
 from newstide.operators import words as W
@@ -30,11 +31,14 @@ from newstide.plans import clean as CN
 from newstide.plans import gather as GA
 from newstide.plans import trends as TR
 from newstide.session import cut, scratch_path
+from newstide.sources import elements as EL
 from newstide.sources import feeds as FD
 from newstide.sources import maintext as MX
 from newstide.sources import pages as PG
+from newstide.sources import plugin as PI
 from newstide.sources.tables import set_where, upsert
 from newstide.streaming import intake as IN
+from newstide.streaming import pool as SP
 from newstide.workload import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +68,21 @@ def word_metrics(spark, sf_dir):
     return W.word_metrics(V.clean_articles(spark, sf_dir))
 
 
+@query
+def word_metrics_sketched(spark, sf_dir):
+    """Words per batch over all its days, merged from the sketches of the samples; the estimate is held against the exact count.
+
+    ``close`` says that they differ by at most four standard errors.
+    """
+    clean = V.clean_articles(spark, sf_dir)
+    batch = S.sample_batch(F.col("sample")).alias("batch")
+    stored = cut(SK.word_sketches(clean)).select(batch, "total_words", "words")
+    exact = W.word_counts(clean).select(batch, "word").distinct().groupBy("batch").agg(F.count("*").alias("distinct_words"))
+    close = F.abs(F.col("distinct_estimate") - F.col("distinct_words")) <= 4 * SK.ERROR * F.col("distinct_words")
+    rows = SK.merge_sketches(stored, "batch").join(exact, "batch")
+    return rows.select("batch", "total_words", "distinct_words", close.alias("close"))
+
+
 @query
 def word_context(spark, sf_dir):
     return W.word_context(W.word_profile(V.clean_articles(spark, sf_dir)))
@@ -221,6 +240,29 @@ def harvest_links(spark, sf_dir):
     return PG.harvest_links(V.table(spark, sf_dir, "pages"))
 
 
+def _pages_with_cards(spark, sf_dir):
+    """The pages, with a headline and a teaser inside each link whose address starts with a small letter."""
+    card = (
+        "<a class=\"card big\" data-link-type='article' href=\"$1\"><img alt=\"a > b\"><div><h2>$2</h2><br>"
+        "<span data-editable=headline>$2 (teaser)</span><p>more</div></a>"
+    )
+    html = F.regexp_replace("html", r'<a href="(/[a-z][^"]*)">([^<]*)</a>', card)
+    return V.table(spark, sf_dir, "pages").withColumn("html", html)
+
+
+@query
+def harvest_inner_links(spark, sf_dir):
+    """``a[href^='/t'] h2``: every headline inside a link of that address."""
+    return EL.select_links(_pages_with_cards(spark, sf_dir), EL.attr("href").startswith("/t"), F.col("tag") == "h2", first=False)
+
+
+@query
+def harvest_attribute_links(spark, sf_dir):
+    """``a[data-link-type='article']``, titled by its first ``.headline`` or ``[data-editable='headline']``."""
+    title = EL.has_class("headline") | (EL.attr("data-editable") == "headline")
+    return EL.select_links(_pages_with_cards(spark, sf_dir), EL.attr("data-link-type") == "article", title)
+
+
 @query
 def extract_article_text(spark, sf_dir):
     rows = PG.extract_article_text(V.table(spark, sf_dir, "pages"))
@@ -753,6 +795,42 @@ def stream_url_dedup(spark, sf_dir):
     return spark.read.schema("url string").parquet(out)
 
 
+@query
+def stream_link_pool(spark, sf_dir):
+    """Events as links of their user, met over weeks; purchases mark the user as processed. The stream is stopped and restarted once."""
+    rows = V.table(spark, sf_dir, "events").select(F.concat(F.lit("u"), "user_id").alias("url"), F.col("ts").alias("seen_at"), (F.col("event_type") == "purchase").alias("done"))
+    path, out, state = (scratch_path(spark, n) for n in ("links", "links-through", "links-state"))
+    half = F.lit("2024-01-16").cast("timestamp")
+    for part in (F.col("seen_at") < half, F.col("seen_at") >= half):
+        rows.where(part).write.mode("append").parquet(path)
+        stream = IN.table_stream(spark, path, rows.schema)
+        with SP.rocks_state(spark):
+            IN.run_available(SP.through_pool(stream, "seen_at", F.col("done")).select("url", "at"), out, state)
+    return spark.read.schema("url string, at timestamp").parquet(out).select("url", F.unix_micros("at").alias("at_us"))
+
+
+@query
+def ingest_plugged_source(spark, sf_dir):
+    """The articles as landed files, read by a plugged-in generator."""
+    PI.register(spark)
+    path = scratch_path(spark, "plugged")
+    entry = V.articles(spark, sf_dir).select("url", "title", "text", "source")
+    entry.write.json(path)
+    return _feed_rows(spark.read.format("newstide_files").option("path", path).load())
+
+
+@query
+def stream_plugged_source(spark, sf_dir):
+    """The same files as a stream of the source, with one restart between two landings."""
+    PI.register(spark)
+    path, out, state = (scratch_path(spark, n) for n in ("plugged", "plugged-landed", "plugged-state"))
+    entry = V.articles(spark, sf_dir).select("url", "title", "text", "source", "lang")
+    for part in (F.col("lang") == "en", F.coalesce(F.col("lang") != "en", F.lit(True))):
+        entry.where(part).drop("lang").write.mode("append").json(path)
+        IN.run_available(spark.readStream.format("newstide_files").option("path", path).load(), out, state)
+    return _feed_rows(spark.read.schema(PI.SCHEMA).parquet(out))
+
+
 # --- whole runs ----------------------------------------------------------------
 
 
