@@ -3,6 +3,9 @@
 A document labelled 1 is preferred to one labelled 0. Weights minimise the logistic loss on feature differences of such
 pairs, so a score is the log-odds of being preferred. The limit between the classes is a quantile of the scores of the
 labelled rows: the share of rows labelled 0.
+
+All labelled rows take part. They are dealt by a hash of ``doc_id`` into blocks of bounded size; pairs are formed inside
+a block, and Spark adds up what the blocks say of each Newton step. Only sums and the quantile reach the driver.
 """
 
 from __future__ import annotations
@@ -15,12 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newstide.llm import textstats
-from newstide.llm.common import bounded_batches, labelled_sample
+from newstide.llm.common import labelled_rows, labelled_sample, marks_of
+from newstide.session import bounded_batches, cut, stage
 
 
 @dataclass(frozen=True)
 class RankConfig:
-    """``sample_rows`` bounds the labelled rows used, ``pairs`` the preference pairs drawn from them."""
+    """``sample_rows`` bounds the labelled rows of a block, ``pairs`` the preference pairs drawn from each block."""
 
     sample_rows: int = 20_000
     pairs: int = 100_000
@@ -66,28 +70,121 @@ def fit_pairs(counts: np.ndarray, label: np.ndarray, cfg: RankConfig) -> RankMod
     x = features(counts)
     mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
     x = np.clip((x - mean) / scale, -6, 6)
+    d = _differences(x, good, bad, cfg)
+    w = newton(lambda w: _sums(d, w), d.shape[1], cfg)
+    return RankModel(mean, scale, w, float(np.quantile(x @ w, len(bad) / (len(good) + len(bad)))), cfg.threshold)
+
+
+def _differences(x: np.ndarray, good: np.ndarray, bad: np.ndarray, cfg: RankConfig) -> np.ndarray:
+    """Feature differences of pairs; every row of the block takes part about equally often."""
     rng = np.random.default_rng(cfg.seed)
-    n = min(cfg.pairs, len(good) * len(bad))
-    # Every labelled row takes part about equally often.
+    n = max(min(cfg.pairs, len(good) * len(bad)), len(good), len(bad))
     first = np.concatenate([rng.permutation(good) for _ in range(-(-n // len(good)))])[:n]
     second = np.concatenate([rng.permutation(bad) for _ in range(-(-n // len(bad)))])[:n]
-    d = x[first] - x[second]
-    w = np.zeros(d.shape[1])
-    for _ in range(cfg.steps):  # Newton's method
-        p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
-        gradient = d.T @ p - cfg.ridge * w
-        hessian = (d * (p * (1 - p))[:, None]).T @ d + (cfg.ridge + 1e-6) * np.eye(len(w))
-        step = np.linalg.solve(hessian, gradient)
+    return x[first] - x[second]
+
+
+def _sums(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What pairs add to the gradient and to the Hessian."""
+    p = 1 / (1 + np.exp(np.clip(d @ w, -30, 30)))
+    return d.T @ p, (d * (p * (1 - p))[:, None]).T @ d
+
+
+def newton(sums, width: int, cfg: RankConfig) -> np.ndarray:
+    """Weights by Newton's method over sums of pairs."""
+    w = np.zeros(width)
+    for _ in range(cfg.steps):
+        gradient, hessian = sums(w)
+        step = np.linalg.solve(hessian + (cfg.ridge + 1e-6) * np.eye(width), gradient - cfg.ridge * w)
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
-    scores = x @ w
-    return RankModel(mean, scale, w, float(np.quantile(scores, len(bad) / (len(good) + len(bad)))), cfg.threshold)
+    return w
+
+
+def _added(rows: DataFrame, by: str | None, fn) -> np.ndarray:
+    """The sum of ``fn(counts, label)``, an array, over blocks of rows (``by``) or over batches; added up by Spark."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = fn(pdf[list(textstats.COUNTS)].to_numpy(np.int64), pdf["label"].to_numpy(float))
+        return pd.DataFrame({"pos": np.arange(out.size), "x": out.ravel()})
+
+    def block(key, pdf):
+        return one(pdf.sort_values("doc_id"))
+
+    def batch(pdfs):
+        for pdf in pdfs:
+            yield one(pdf)
+
+    parts = rows.groupBy(by).applyInPandas(block, "pos long, x double") if by else rows.mapInPandas(batch, "pos long, x double")
+    return parts.groupBy("pos").agg(F.sum("x").alias("x")).orderBy("pos").toPandas()["x"].to_numpy()
+
+
+def exact_quantile(values: DataFrame, name: str, share: float, most: int = 100_000) -> float:
+    """As ``np.quantile``: the range is narrowed by histograms until few values are left, which alone reach the driver."""
+    rows = values.groupBy(F.col(name).alias("v")).agg(F.count("*").alias("n"))  # equal values are one row
+    rows = cut(rows)
+    total, low, high = rows.agg(F.sum("n"), F.min("v"), F.max("v")).first()
+    place = share * (total - 1)
+
+    def at(rank: int) -> float:
+        a, b, before = low, high, 0
+        while True:
+            inside = rows.where((F.col("v") >= a) & (F.col("v") <= b))
+            width = (b - a) / 1000
+            if inside.limit(most + 1).count() <= most or width <= 0 or a + width == a:
+                left = inside.orderBy("v").toPandas()
+                return float(left["v"].iloc[int(np.searchsorted(np.cumsum(left["n"].to_numpy()), rank - before, side="right"))])
+            bins = inside.groupBy(F.floor((F.col("v") - a) / width).alias("bin")).agg(F.sum("n").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).orderBy("bin").toPandas()
+            ends = before + np.cumsum(bins["n"].to_numpy())
+            k = int(np.searchsorted(ends, rank, side="right"))
+            before = int(ends[k] - bins["n"].iloc[k])
+            a, b = float(bins["a"].iloc[k]), float(bins["b"].iloc[k])
+
+    floor = int(np.floor(place))
+    first = at(floor)
+    return first if place == floor else first + (place - floor) * (at(floor + 1) - first)
+
+
+def fit_blocks(rows: DataFrame, n: int, cfg: RankConfig) -> RankModel:
+    """Model of (doc_id, label, counts) rows, ``n`` of them, in as many blocks as they ask for."""
+    blocks = -(-n // cfg.sample_rows)
+    rows = stage(rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))), "labelled")
+    n_good, n_bad = rows.agg(F.count_if(F.col("label") > 0.5), F.count_if(F.col("label") < 0.5)).first()
+    if not n_good or not n_bad:
+        return RankModel(threshold=cfg.threshold)
+    bounded_batches(rows.sparkSession)
+    mean = _added(rows, None, lambda c, y: features(c).sum(0)) / n
+    scale = np.maximum(np.sqrt(_added(rows, None, lambda c, y: ((features(c) - mean) ** 2).sum(0)) / n), 1e-9)
+    width = len(mean)
+
+    def sums(w):
+        def of_block(counts, label):
+            good, bad = np.flatnonzero(label > 0.5), np.flatnonzero(label < 0.5)
+            if not len(good) or not len(bad):
+                return np.zeros(width + width * width)
+            d = _differences(np.clip((features(counts) - mean) / scale, -6, 6), good, bad, cfg)
+            return np.concatenate([a.ravel() for a in _sums(d, w)])
+
+        both = _added(rows, "block", of_block)
+        return both[:width], both[width:].reshape(width, width)
+
+    model = RankModel(mean, scale, newton(sums, width, cfg), 0.0, cfg.threshold)
+
+    @F.pandas_udf("double")
+    def raw(*columns: pd.Series) -> pd.Series:
+        return pd.Series(model.raw(np.stack([c.to_numpy(np.int64) for c in columns], axis=1)))
+
+    model.limit = exact_quantile(rows.select(raw(*textstats.COUNTS).alias("raw")), "raw", n_bad / (n_good + n_bad))
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, cfg: RankConfig = RankConfig(), usable=None) -> RankModel:
-    """Model of a bounded sample of the rows with a ``quality`` label that ``usable`` allows."""
-    return fit_pairs(*textstats.collect(labelled_sample(docs, labels, "quality", cfg.sample_rows, usable)), cfg)
+    """Model of all rows with a ``quality`` label that ``usable`` allows."""
+    if marks_of(labels, "quality", usable).count() <= cfg.sample_rows:  # one block, whose counts the driver can hold
+        return fit_pairs(*textstats.collect(labelled_sample(docs, labels, "quality", cfg.sample_rows, usable)), cfg)
+    rows = stage(textstats.counted(labelled_rows(docs, labels, "quality", usable)), "counted")
+    return fit_blocks(rows, rows.count(), cfg)
 
 
 def score_quality(docs: DataFrame, model: RankModel) -> DataFrame:
