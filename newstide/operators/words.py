@@ -73,10 +73,13 @@ def _percentage(*group: str) -> Column:
 
 
 def word_context(profile: DataFrame) -> DataFrame:
-    """Topic and sentiment shares of each word over its valid labels, in whole percent."""
+    """Topic and sentiment shares of each word over its valid labels, in whole percent.
+
+    The counts of a word, one per pair of labels, are brought together once; what follows needs no further shuffle.
+    """
     both = F.explode(_both_kinds(F.col("topic"), F.col("sentiment"), F.col("cnt")))
     return (
-        profile.select("sample", "word", both.alias("x"))
+        profile.repartition("sample", "word").select("sample", "word", both.alias("x"))
         .where("x.label is not null")
         .groupBy("sample", "word", "x.kind", "x.label")
         .agg(F.sum("x.n").alias("n"))
