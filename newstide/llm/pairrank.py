@@ -10,7 +10,7 @@ a block, and Spark adds up what the blocks say of each Newton step. Only sums an
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -90,9 +90,9 @@ def _sums(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return d.T @ p, (d * (p * (1 - p))[:, None]).T @ d
 
 
-def newton(sums, width: int, cfg: RankConfig) -> np.ndarray:
-    """Weights by Newton's method over sums of pairs."""
-    w = np.zeros(width)
+def newton(sums, width: int, cfg: RankConfig, start: np.ndarray | None = None) -> np.ndarray:
+    """Weights by Newton's method over sums of pairs. The loss is convex, so the start only saves steps."""
+    w = np.zeros(width) if start is None else start
     for _ in range(cfg.steps):
         gradient, hessian = sums(w)
         step = np.linalg.solve(hessian + (cfg.ridge + 1e-6) * np.eye(width), gradient - cfg.ridge * w)
@@ -158,18 +158,21 @@ def fit_blocks(rows: DataFrame, n: int, cfg: RankConfig) -> RankModel:
     scale = np.maximum(np.sqrt(_added(rows, None, lambda c, y: ((features(c) - mean) ** 2).sum(0)) / n), 1e-9)
     width = len(mean)
 
+    def pairs_of(counts, label):
+        good, bad = np.flatnonzero(label > 0.5), np.flatnonzero(label < 0.5)
+        if not len(good) or not len(bad):
+            return np.zeros((0, width))
+        return _differences(np.clip((features(counts) - mean) / scale, -6, 6), good, bad, cfg)
+
     def sums(w):
-        def of_block(counts, label):
-            good, bad = np.flatnonzero(label > 0.5), np.flatnonzero(label < 0.5)
-            if not len(good) or not len(bad):
-                return np.zeros(width + width * width)
-            d = _differences(np.clip((features(counts) - mean) / scale, -6, 6), good, bad, cfg)
-            return np.concatenate([a.ravel() for a in _sums(d, w)])
-
-        both = _added(rows, "block", of_block)
+        both = _added(rows, "block", lambda counts, label: np.concatenate([a.ravel() for a in _sums(pairs_of(counts, label), w)]))
         return both[:width], both[width:].reshape(width, width)
 
-    model = RankModel(mean, scale, newton(sums, width, cfg), 0.0, cfg.threshold)
+    # The first block alone gives weights to start from, so that few steps pass over all rows.
+    one = rows.where("block = 0").orderBy("doc_id").toPandas()
+    d = pairs_of(one[list(textstats.COUNTS)].to_numpy(np.int64), one["label"].to_numpy(float))
+    start = newton(lambda w: _sums(d, w), width, replace(cfg, ridge=cfg.ridge / blocks)) if len(d) else None
+    model = RankModel(mean, scale, newton(sums, width, cfg, start), 0.0, cfg.threshold)
 
     @F.pandas_udf("double")
     def raw(*columns: pd.Series) -> pd.Series:
