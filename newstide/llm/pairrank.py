@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newstide.llm import textstats
-from newstide.llm.common import labelled_rows, labelled_sample, marks_of
+from newstide.llm.common import labelled_sample, marks_of
 from newstide.session import bounded_batches, cut, stage
 
 
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: RankConfig = RankConfig(), usab
     """Model of all rows with a ``quality`` label that ``usable`` allows."""
     if marks_of(labels, "quality", usable).count() <= cfg.sample_rows:  # one block, whose counts the driver can hold
         return fit_pairs(*textstats.collect(labelled_sample(docs, labels, "quality", cfg.sample_rows, usable)), cfg)
-    rows = stage(textstats.counted(labelled_rows(docs, labels, "quality", usable)), "counted")
+    rows = stage(textstats.labelled_counts(docs, labels, "quality", usable), "counted")
     return fit_blocks(rows, rows.count(), cfg)
 
 

@@ -33,6 +33,17 @@ def test_one_block_is_the_fit_in_memory(spark):
     assert np.allclose(got.weights, want.weights, atol=1e-5) and abs(got.limit - want.limit) < 1e-5
 
 
+def test_texts_of_the_fit_are_counted_where_they_lie(spark, monkeypatch):
+    rows = corpus(spark, 90)
+    more = spark.createDataFrame([(3, "a b"), (4, "zz"), (None, "x"), (500, "no label"), (5, None)], "doc_id long, text string")
+    docs, labels = rows.select("doc_id", "text").unionByName(more), rows.select("doc_id", "quality")
+    plans, real = [], textstats.counted
+    monkeypatch.setattr(textstats, "counted", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    got = {r.doc_id: r for r in textstats.labelled_counts(docs, labels, "quality", ~labels.doc_id.eqNullSafe(7)).collect()}
+    assert "Exchange" not in plans[0]
+    assert set(got) == set(range(90)) - {7} and got[3].n_words == 2 and got[4].n_words == 60 and got[3].label == 0.0
+
+
 @pytest.mark.parametrize("share", [0.0, 0.37, 1.0])
 def test_exact_quantile_with_ties(spark, share):
     values = np.concatenate([np.random.default_rng(1).normal(size=300), np.full(200, 0.25), [1e6]])
