@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newstide.llm import textstats
-from newstide.llm.common import labelled_sample, marks_of
-from newstide.session import bounded_batches, cut, stage
+from newstide.llm.common import labelled_sample, marks_of, order_statistics
+from newstide.session import bounded_batches, stage
 
 
 @dataclass(frozen=True)
@@ -121,26 +121,9 @@ def _added(rows: DataFrame, by: str | None, fn) -> np.ndarray:
 
 
 def exact_quantile(values: DataFrame, name: str, share: float, most: int = 100_000) -> float:
-    """As ``np.quantile``: the range is narrowed by histograms until few values are left, which alone reach the driver."""
-    rows = values.groupBy(F.col(name).alias("v")).agg(F.count("*").alias("n"))  # equal values are one row
-    rows = cut(rows)
-    total, low, high = rows.agg(F.sum("n"), F.min("v"), F.max("v")).first()
+    """As ``np.quantile``, exact and without bringing the values together."""
+    total, at = order_statistics(values, name, most)
     place = share * (total - 1)
-
-    def at(rank: int) -> float:
-        a, b, before = low, high, 0
-        while True:
-            inside = rows.where((F.col("v") >= a) & (F.col("v") <= b))
-            width = (b - a) / 1000
-            if inside.limit(most + 1).count() <= most or width <= 0 or a + width == a:
-                left = inside.orderBy("v").toPandas()
-                return float(left["v"].iloc[int(np.searchsorted(np.cumsum(left["n"].to_numpy()), rank - before, side="right"))])
-            bins = inside.groupBy(F.floor((F.col("v") - a) / width).alias("bin")).agg(F.sum("n").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).orderBy("bin").toPandas()
-            ends = before + np.cumsum(bins["n"].to_numpy())
-            k = int(np.searchsorted(ends, rank, side="right"))
-            before = int(ends[k] - bins["n"].iloc[k])
-            a, b = float(bins["a"].iloc[k]), float(bins["b"].iloc[k])
-
     floor = int(np.floor(place))
     first = at(floor)
     return first if place == floor else first + (place - floor) * (at(floor + 1) - first)
